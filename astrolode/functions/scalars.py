@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from astrolode.functions.predicates import column, is_blank
+from astrolode.functions.predicates import literal, not_blank_sql, quoted
 from astrolode.spec import DATE_KEY_FORMAT, UNKNOWN
 
 
@@ -15,21 +15,22 @@ def safe_cast(df: DataFrame, name: str, target: str, date_format: str) -> Column
 
     Columns that already hold a time are passed through, so cleaning twice changes nothing.
     """
-    value = column(name)
+    value = quoted(name)
     if target != "timestamp":
-        return value.try_cast(target)
+        return F.expr(f"try_cast({value} AS {target})")
     if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
-        return value
-    return F.try_to_timestamp(value.cast("string"), F.lit(date_format))
+        return F.col(value)
+    return F.expr(f"try_to_timestamp(CAST({value} AS STRING), {literal(date_format)})")
 
 
 def trimmed(name: str) -> Column:
-    return F.trim(column(name).cast("string"))
+    return F.expr(f"trim(CAST({quoted(name)} AS STRING))")
 
 
 def or_unknown(df: DataFrame, name: str, default: str = UNKNOWN) -> Column:
     """Blank becomes the default, anything else stays untouched (not trimmed)."""
-    return F.when(is_blank(df, name), F.lit(default)).otherwise(column(name))
+    value = quoted(name)
+    return F.expr(f"CASE WHEN {not_blank_sql(df, name)} THEN {value} ELSE {literal(default)} END")
 
 
 def date_key(moment: Column) -> Column:

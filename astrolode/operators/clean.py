@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from astrolode.functions.predicates import (
     all_not_blank,
     all_present,
     any_not_blank,
-    column,
-    not_blank,
+    not_blank_sql,
+    quoted,
 )
 from astrolode.functions.scalars import or_unknown, safe_cast, trimmed
 from astrolode.operators.dedupe import keep_one
@@ -29,8 +28,7 @@ def drop_blank_rows(df: DataFrame, ignore: Iterable[str] = PROVENANCE) -> DataFr
 
 
 def _columns_with_content(df: DataFrame, names: list[str]) -> set[str]:
-    flags = [F.coalesce(F.bool_or(not_blank(df, n)), F.lit(False)) for n in names]
-    found = df.agg(*(flag.alias(f"c{i}") for i, flag in enumerate(flags))).first()
+    found = df.selectExpr(*(f"bool_or({not_blank_sql(df, n)})" for n in names)).first()
     return {name for name, has in zip(names, found) if has}
 
 
@@ -44,7 +42,7 @@ def empty_columns(df: DataFrame) -> list[str]:
     proven = _columns_with_content(df.limit(PROBE_ROWS), names)
     open_names = [n for n in names if n not in proven]
     if open_names:
-        proven |= _columns_with_content(df.select(*map(column, open_names)), open_names)
+        proven |= _columns_with_content(df.select(*map(quoted, open_names)), open_names)
     return [n for n in names if n not in proven]
 
 
@@ -54,7 +52,7 @@ def drop_empty_columns(df: DataFrame, protect: Iterable[str] = ()) -> DataFrame:
     candidates = [c for c in df.columns if c not in kept]
     if not candidates:
         return df
-    return df.drop(*empty_columns(df.select(*map(column, candidates))))
+    return df.drop(*empty_columns(df.select(*map(quoted, candidates))))
 
 
 def _check_columns(df: DataFrame, spec: TableSpec) -> None:

@@ -12,7 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from astrolode.functions.predicates import all_blank, all_not_blank, column, is_blank
+from astrolode.functions.predicates import (
+    all_blank_sql,
+    all_not_blank,
+    literal,
+    not_blank_sql,
+    quoted,
+)
 from astrolode.spec import CATALOG, PROVENANCE, TableSpec
 
 ROWS = "rows"
@@ -28,44 +34,41 @@ class QualityError(RuntimeError):
     """Raised by `enforce` when a gate fails."""
 
 
-def _check(name: str, column_name: str | None, value: Column,
-           flagged: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(name).alias("check_name"),
-        F.lit(column_name).cast("string").alias("column_name"),
-        value.cast("bigint").alias("value"),
-        (value > 0 if flagged is None else flagged).alias("flagged"),
+def _check(name: str, column_name: str | None, value: str, flagged: str | None = None) -> str:
+    """One check as SQL text of a struct."""
+    named = "CAST(NULL AS STRING)" if column_name is None else literal(column_name)
+    return (
+        f"struct('{name}' AS check_name, {named} AS column_name, "
+        f"CAST({value} AS BIGINT) AS value, {flagged or f'{value} > 0'} AS flagged)"
     )
 
 
+def _as_rows(counts: DataFrame, table: str, checks: Iterable[str]) -> DataFrame:
+    rows = f"inline(array({', '.join(checks)}))"
+    return counts.select(F.lit(table).alias("table_name"), F.expr(rows))
+
+
 def column_checks(df: DataFrame, table: str, required: Sequence[str] = (),
                   ignore: Iterable[str] = PROVENANCE) -> DataFrame:
     """Row count, blanks per column, required columns, fully blank rows: one aggregate.
 
-    A `blank_values` check is flagged when the column is blank in every row. The aggregate is a single row per map task, so no data but counts is shuffled.
+    A `blank_values` check is flagged when the column is blank in every row. The aggregate
+    is a single row per map task, so no data but counts is shuffled.
     """
     names = df.columns
     ignored = set(ignore)
     business = [n for n in names if n not in ignored]
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(all_blank(df, business)).alias("fully_blank"),
-        *(F.count_if(is_blank(df, n)).alias(f"blank_{i}") for i, n in enumerate(names)),
+    counts = df.selectExpr(
+        "count(1) AS rows",
+        f"count_if({all_blank_sql(df, business)}) AS fully_blank",
+        *(f"count_if(NOT {not_blank_sql(df, n)}) AS blank_{i}" for i, n in enumerate(names)),
     )
-    checks = [
-        _check(ROWS, None, F.col("rows"), F.lit(False)),
-        _check(FULLY_BLANK, None, F.col("fully_blank")),
-    ]
-    for i, name in enumerate(names):
-        blanks = F.col(f"blank_{i}")
-        checks.append(_check(BLANK, name, blanks, blanks == F.col("rows")))
-    checks += [
-        _check(REQUIRED_BLANK, n, F.col(f"blank_{names.index(n)}")) for n in required if n in names
-    ]
-    checks += [
-        _check(MISSING, n, F.lit(0 if n in names else 1)) for n in required
-    ]
-    return counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*checks)))
+    blanks = {n: f"blank_{i}" for i, n in enumerate(names)}
+    checks = [_check(ROWS, None, "rows", "false"), _check(FULLY_BLANK, None, "fully_blank")]
+    checks += [_check(BLANK, n, blank, f"{blank} = rows") for n, blank in blanks.items()]
+    checks += [_check(REQUIRED_BLANK, n, blanks[n]) for n in required if n in blanks]
+    checks += [_check(MISSING, n, "0" if n in blanks else "1") for n in required]
+    return _as_rows(counts, table, checks)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], ignore_blank: bool = True) -> DataFrame:
@@ -74,23 +77,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], ignore_blank: bool = True
     With `ignore_blank` a row with any blank key part is left out; without, NULL is a key
     like any other. Counting starts before the shuffle, so a hot key costs one row per task.
     """
-    rows = df.select(*map(column, keys))
+    rows = df.select(*map(quoted, keys))
     if ignore_blank:
         rows = rows.filter(all_not_blank(rows, keys))
-    sizes = rows.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.filter("_n > 1").agg(
-        F.count(F.lit(1)).alias(DUPLICATE_GROUPS),
-        F.coalesce(F.sum(F.col("_n") - F.lit(1)), F.lit(0)).alias(DUPLICATE_ROWS),
+    sizes = rows.groupBy(*map(quoted, keys)).agg(F.expr("count(1) AS _n"))
+    return sizes.filter("_n > 1").selectExpr(
+        f"count(1) AS {DUPLICATE_GROUPS}",
+        f"coalesce(sum(_n - 1), 0) AS {DUPLICATE_ROWS}",
     )
 
 
 def key_checks(df: DataFrame, table: str, keys: Sequence[str],
                ignore_blank: bool = True) -> DataFrame:
     """`duplicate_keys` as check rows."""
-    checks = [_check(n, None, F.col(n)) for n in (DUPLICATE_GROUPS, DUPLICATE_ROWS)]
-    return duplicate_keys(df, keys, ignore_blank).select(
-        F.lit(table).alias("table_name"), F.inline(F.array(*checks))
-    )
+    counts = duplicate_keys(df, keys, ignore_blank)
+    return _as_rows(counts, table, (_check(n, None, n) for n in (DUPLICATE_GROUPS, DUPLICATE_ROWS)))
 
 
 def _union(parts: Iterable[DataFrame]) -> DataFrame:
@@ -118,9 +119,9 @@ def bronze_report(tables: Mapping[str, DataFrame],
     return _checks(tables, specs, "bronze")
 
 
-def _total(*names: str) -> Column:
-    value = F.when(F.col("check_name").isin(*names), F.col("value")).otherwise(F.lit(0))
-    return F.sum(value).cast("bigint")
+def _total(check: str, name: str) -> Column:
+    value = f"CASE WHEN check_name = '{check}' THEN value ELSE 0 END"
+    return F.expr(f"sum({value}) AS {name}")
 
 
 def silver_gate(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec] = CATALOG,
@@ -131,29 +132,31 @@ def silver_gate(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]
     `missing_is_error=False` leaves absent required columns out of the verdict.
     """
     totals = _checks(tables, specs, "silver").groupBy("table_name").agg(
-        _total(ROWS).alias("rows"),
-        _total(REQUIRED_BLANK).alias("required_nulls"),
-        _total(MISSING).alias("missing_columns"),
-        _total(DUPLICATE_GROUPS).alias("duplicate_keys"),
-        _total(FULLY_BLANK).alias("fully_null_rows"),
+        _total(ROWS, "rows"),
+        _total(REQUIRED_BLANK, "required_nulls"),
+        _total(MISSING, "missing_columns"),
+        _total(DUPLICATE_GROUPS, "duplicate_keys"),
+        _total(FULLY_BLANK, "fully_null_rows"),
     )
-    empty = F.when(F.col("rows") == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    errors = F.col("required_nulls") + F.col("duplicate_keys") + F.col("fully_null_rows") + empty
+    empty = "CAST(CASE WHEN rows = 0 THEN 1 ELSE 0 END AS BIGINT)"
+    errors = f"required_nulls + duplicate_keys + fully_null_rows + {empty}"
     if missing_is_error:
-        errors = errors + F.col("missing_columns")
-    status = F.when(errors == 0, F.lit("CLEAN")).otherwise(F.lit("NEEDS REVIEW"))
-    return totals.select(
-        "*", empty.alias("empty_table"), errors.alias("errors"), status.alias("status")
+        errors += " + missing_columns"
+    return totals.selectExpr(
+        "*",
+        f"{empty} AS empty_table",
+        f"{errors} AS errors",
+        f"CASE WHEN {errors} = 0 THEN 'CLEAN' ELSE 'NEEDS REVIEW' END AS status",
     )
 
 
 def verdict(gate: DataFrame) -> DataFrame:
     """One row over all tables: total errors and PASSED / FAILED."""
-    total = F.coalesce(F.sum("errors"), F.lit(0)).cast("bigint")
-    return gate.agg(
-        F.count(F.lit(1)).alias("tables"),
-        total.alias("total_errors"),
-        F.when(total == 0, F.lit("PASSED")).otherwise(F.lit("FAILED")).alias("verdict"),
+    total = "coalesce(sum(errors), 0)"
+    return gate.selectExpr(
+        "count(1) AS tables",
+        f"{total} AS total_errors",
+        f"CASE WHEN {total} = 0 THEN 'PASSED' ELSE 'FAILED' END AS verdict",
     )
 
 
@@ -168,6 +171,6 @@ def enforce(gate: DataFrame) -> None:
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table, one job for all."""
     return _union(
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        df.selectExpr("count(1) AS rows").select(F.lit(name).alias("table_name"), "rows")
         for name, df in tables.items()
     )

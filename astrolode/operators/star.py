@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from astrolode.functions.predicates import column
+from astrolode.functions.predicates import quoted
 from astrolode.functions.provenance import built_at, source_system
 from astrolode.functions.scalars import calendar_attributes, date_key, line_amount
 
@@ -28,9 +28,8 @@ SHIPPER_NAMES = {"CompanyName": "ShipperName"}
 def project(df: DataFrame, columns: Sequence[str], names: Mapping[str, str] | None = None,
             source: str | None = None) -> DataFrame:
     """A dimension that is a selection of columns, some renamed, perhaps with its origin."""
-    names = names or {}
-    chosen = [column(c).alias(names.get(c, c)) for c in columns]
-    return df.select(*chosen, *([source_system(source)] if source else []))
+    chosen = df.select(*map(quoted, columns)).withColumnsRenamed(dict(names or {}))
+    return chosen.select("*", source_system(source)) if source else chosen
 
 
 def dim_dates(orders: DataFrame, date_column: str = "OrderDate", drop_null: bool = False,
@@ -41,7 +40,7 @@ def dim_dates(orders: DataFrame, date_column: str = "OrderDate", drop_null: bool
     unreadable date gives a NULL row unless `drop_null`; `dense` fills the gaps between
     the first and the last day.
     """
-    days = orders.select(F.to_date(column(date_column)).alias("date"))
+    days = orders.select(F.to_date(quoted(date_column)).alias("date"))
     if dense:
         span = days.agg(F.min("date").alias("first"), F.max("date").alias("last"))
         days = span.select(F.explode(F.sequence("first", "last")).alias("date"))

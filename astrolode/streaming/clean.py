@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from astrolode.functions.predicates import column
+from astrolode.functions.predicates import quoted
 from astrolode.operators.clean import clean, standardize
 from astrolode.sources.files import or_none
 from astrolode.spec import TableSpec
@@ -25,7 +25,7 @@ def _upsert_new_keys(spec: TableSpec, silver: str):
         rows = clean(batch, spec)
         earlier = or_none(lambda: spark.read.parquet(silver)) if batch_id else None
         if earlier is not None:
-            kept = earlier.filter(F.col(BATCH_ID) < batch_id).select(*map(column, spec.keys))
+            kept = earlier.filter(F.col(BATCH_ID) < batch_id).select(*map(quoted, spec.keys))
             rows = rows.join(kept, list(spec.keys), "left_anti").select(rows.columns)
         rows.write.mode("overwrite").parquet(f"{silver.rstrip('/')}/{BATCH_ID}={batch_id}")
 

@@ -2,200 +2,182 @@
 
 Each covers its whole source table. The dirt (blank keys, text that does not parse, padded
 names, exact copies, rows without content) follows from the key, so that the SQL side can
-derive the same rows. `queries/sql.py` holds the same rules as SQL.
+derive the same rows. `queries/sql.py` holds the same rules in DuckDB's dialect.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 SOURCE = "retail"
+DATE_TIME = "'M/d/yyyy H:mm'"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def _every(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
+def _struct(columns: dict[str, str]) -> str:
+    return "struct(" + ", ".join(f"{value} AS `{name}`" for name, value in columns.items()) + ")"
 
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*(f"{value} AS `{name}`" for name, value in columns.items()))
 
 
-def _with_copies(df: DataFrame, key: str) -> DataFrame:
-    """Each row once, and those whose key ends in 0 twice: one scan, no union."""
-    copies = F.when(_every(key, 10), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return df.withColumn("_copy", F.explode(copies))
+def _with_copies(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """The columns of each row once, and twice where the key ends in 0: one scan, no union."""
+    return df.selectExpr(f"inline(array_repeat({_struct(columns)}, IF({key} % 10 = 0, 2, 1)))")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = load(spark, sf_dir, "orders")
-    blank_rows = F.when(_every("o_orderkey", 97), F.array(F.lit(2))).otherwise(
-        F.array().cast("array<int>")
-    )
-    copies = F.when(_every("o_orderkey", 10), F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
-    )
-    df = df.withColumn("_copy", F.explode(F.concat(copies, blank_rows)))
-
-    def unless_blank(value: Column) -> Column:
-        return F.when(F.col("_copy") < 2, value)
-
-    k, day = "o_orderkey", F.col("o_orderdate")
-    return df.select(
-        unless_blank(_text(k)).alias("OrderID"),
-        unless_blank(
-            F.when(_every(k, 11), F.lit(""))
-            .when(_every(k, 13), F.lit(None))
-            .otherwise(F.concat(F.lit("  "), _text("o_custkey"), F.lit(" ")))
-        ).alias("Customer key"),
-        unless_blank(
-            F.when(_every(k, 23), F.lit("none")).otherwise((F.col("o_custkey") % 9 + 1).cast("string"))
-        ).alias("EmployeeID"),
-        unless_blank(
-            F.when(_every(k, 17), F.date_format(day, "M/d/yyyy")).otherwise(
-                F.date_format(day, "M/d/yyyy H:mm")
-            )
-        ).alias("OrderDate"),
-        unless_blank(
-            F.date_format(day + F.expr("INTERVAL 28 DAYS"), "M/d/yyyy H:mm")
-        ).alias("RequiredDate"),
-        unless_blank(
-            F.when(_every(k, 7), F.lit("")).otherwise(
-                F.date_format(day + F.expr("INTERVAL 5 DAYS"), "M/d/yyyy H:mm")
-            )
-        ).alias("ShippedDate"),
-        unless_blank((F.col(k) % 3 + 1).cast("string")).alias("ShipVia"),
-        unless_blank(_text("o_totalprice")).alias("Freight"),
-        unless_blank(
-            F.when(_every(k, 7), F.lit(" ")).otherwise(F.col("o_orderpriority"))
-        ).alias("Region"),
-        F.concat(F.lit("batch_"), (F.col(k) % 5).cast("string")).alias("source_file"),
+    """Orders, some twice, and for some orders one more row without any content."""
+    content = {
+        "OrderID": "string(o_orderkey)",
+        "Customer key": "CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 13 = 0 THEN NULL "
+                        "ELSE concat('  ', o_custkey, ' ') END",
+        "EmployeeID": "IF(o_orderkey % 23 = 0, 'none', string(o_custkey % 9 + 1))",
+        "OrderDate": "IF(o_orderkey % 17 = 0, date_format(o_orderdate, 'M/d/yyyy'), "
+                     f"date_format(o_orderdate, {DATE_TIME}))",
+        "RequiredDate": f"date_format(o_orderdate + INTERVAL 28 DAYS, {DATE_TIME})",
+        "ShippedDate": "IF(o_orderkey % 7 = 0, '', "
+                       f"date_format(o_orderdate + INTERVAL 5 DAYS, {DATE_TIME}))",
+        "ShipVia": "string(o_orderkey % 3 + 1)",
+        "Freight": "string(o_totalprice)",
+        "Region": "IF(o_orderkey % 7 = 0, ' ', o_orderpriority)",
+    }
+    source = {"source_file": "concat('batch_', o_orderkey % 5)"}
+    blank = dict.fromkeys(content, "CAST(NULL AS STRING)")
+    rows = (
+        f"array_repeat({_struct(content | source)}, IF(o_orderkey % 10 = 0, 2, 1))",
+        f"array_repeat({_struct(blank | source)}, IF(o_orderkey % 97 = 0, 1, 0))",
     )
+    return load(spark, sf_dir, "orders").selectExpr(f"inline(concat({', '.join(rows)}))")
 
 
 def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "lineitem").select(
-        _text("l_orderkey").alias("OrderID"),
-        F.when(_every("l_orderkey", 19), F.lit("")).otherwise(_text("l_partkey")).alias("ProductID"),
-        F.col("l_linenumber").alias("LineNumber"),
-        _text("l_extendedprice").alias("UnitPrice"),
-        F.col("l_quantity").cast("int").cast("string").alias("Quantity"),
-        F.when(_every("l_partkey", 23), F.lit("n/a")).otherwise(_text("l_discount")).alias("Discount"),
-    )
+    return _project(load(spark, sf_dir, "lineitem"), {
+        "OrderID": "string(l_orderkey)",
+        "ProductID": "IF(l_orderkey % 19 = 0, '', string(l_partkey))",
+        "LineNumber": "l_linenumber",
+        "UnitPrice": "string(l_extendedprice)",
+        "Quantity": "string(int(l_quantity))",
+        "Discount": "IF(l_partkey % 23 = 0, 'n/a', string(l_discount))",
+    })
+
+
+def _place(k: str) -> dict[str, str]:
+    return {
+        "Address": f"concat({k}, ' Main St.\\nFloor 2')",
+        "City": f"concat('City ', {k} % 50)",
+    }
+
+
+def _contact(k: str, title: str) -> dict[str, str]:
+    return {
+        "ContactName": f"concat('Contact ', {k})", "ContactTitle": f"'{title}'", **_place(k),
+    }
 
 
-def _contact(key: str, label: str) -> list[Column]:
-    n = _text(key)
-    return [
-        F.concat(F.lit("Contact "), n).alias("ContactName"),
-        F.lit(label).alias("ContactTitle"),
-        F.concat(n, F.lit(" Main St.\nFloor 2")).alias("Address"),
-        F.concat(F.lit("City "), (F.col(key) % 50).cast("string")).alias("City"),
-    ]
+def _post(k: str) -> dict[str, str]:
+    return {
+        "PostalCode": f"lpad(string({k} % 90000), 5, '0')",
+        "Country": f"concat('Nation ', {k} % 25)",
+    }
 
 
-def _reach(key: str) -> list[Column]:
-    return [
-        F.lpad((F.col(key) % 90000).cast("string"), 5, "0").alias("PostalCode"),
-        F.concat(F.lit("Nation "), (F.col(key) % 25).cast("string")).alias("Country"),
-        F.concat(F.lit("555-"), _text(key)).alias("Phone"),
-        F.when(_every(key, 3), F.lit("")).otherwise(F.concat(F.lit("556-"), _text(key))).alias("Fax"),
-    ]
+def _reach(k: str) -> dict[str, str]:
+    return {
+        **_post(k),
+        "Phone": f"concat('555-', {k})",
+        "Fax": f"IF({k} % 3 = 0, '', concat('556-', {k}))",
+    }
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = "c_custkey"
-    return _with_copies(load(spark, sf_dir, "customer"), k).select(
-        F.when(_every(k, 13), F.lit("  "))
-        .when(_every(k, 17), F.lit(None))
-        .otherwise(F.concat(F.lit(" C"), _text(k), F.lit(" ")))
-        .alias("CustomerID"),
-        F.concat("c_name", F.lit(" ")).alias("CompanyName"),
-        *_contact(k, "Buyer"),
-        F.when(_every(k, 5), F.lit("")).when(_every(k, 7), F.lit(None))
-        .otherwise(F.col("c_mktsegment")).alias("Region"),
-        *_reach(k),
-    )
+    return _with_copies(load(spark, sf_dir, "customer"), k, {
+        "CustomerID": f"CASE WHEN {k} % 13 = 0 THEN '  ' WHEN {k} % 17 = 0 THEN NULL "
+                      f"ELSE concat(' C', {k}, ' ') END",
+        "CompanyName": "concat(c_name, ' ')",
+        **_contact(k, "Buyer"),
+        "Region": f"CASE WHEN {k} % 5 = 0 THEN '' WHEN {k} % 7 = 0 THEN NULL "
+                  "ELSE c_mktsegment END",
+        **_reach(k),
+    })
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One per customer, with a date-only birthday and a hire date with a time."""
     k = "c_custkey"
-    born = F.date_add(F.lit("1950-01-01").cast("date"), (F.col(k) % 15000).cast("int"))
-    hired = F.date_add(F.lit("1990-01-01").cast("date"), (F.col(k) % 9000).cast("int"))
-    contact = _contact(k, "Agent")
-    return _with_copies(load(spark, sf_dir, "customer"), k).select(
-        F.when(_every(k, 29), F.lit("?")).otherwise(_text(k)).alias("EmployeeID"),
-        F.concat(F.lit("Last "), _text(k)).alias("LastName"),
-        F.concat(F.lit("First "), _text(k)).alias("FirstName"),
-        F.lit("Sales Agent").alias("Title"),
-        F.when(_every(k, 2), F.lit("Dr.")).otherwise(F.lit("Mx.")).alias("TitleOfCourtesy"),
-        F.date_format(born, "M/d/yyyy").alias("BirthDate"),
-        F.concat(F.date_format(hired, "M/d/yyyy"), F.lit(" 9:05")).alias("HireDate"),
-        *contact[2:],
-        F.when(_every(k, 4), F.lit(" ")).otherwise(F.col("c_mktsegment")).alias("Region"),
-        *_reach(k)[:2],
-        F.concat(F.lit("557-"), _text(k)).alias("HomePhone"),
-        (F.col(k) % 10000).cast("bigint").alias("Extension"),
-        F.lit("photo.bmp").alias("Photo"),
-        F.concat(F.lit("Joined.\nNo. "), _text(k)).alias("Notes"),
-        F.when(~_every(k, 11), (F.col(k) % 9 + 1).cast("double")).alias("ReportsTo"),
-    )
+    return _with_copies(load(spark, sf_dir, "customer"), k, {
+        "EmployeeID": f"IF({k} % 29 = 0, '?', string({k}))",
+        "LastName": f"concat('Last ', {k})",
+        "FirstName": f"concat('First ', {k})",
+        "Title": "'Sales Agent'",
+        "TitleOfCourtesy": f"IF({k} % 2 = 0, 'Dr.', 'Mx.')",
+        "BirthDate": f"date_format(date_add(DATE '1950-01-01', int({k} % 15000)), 'M/d/yyyy')",
+        "HireDate": f"concat(date_format(date_add(DATE '1990-01-01', int({k} % 9000)), 'M/d/yyyy'), "
+                    "' 9:05')",
+        **_place(k),
+        "Region": f"IF({k} % 4 = 0, ' ', c_mktsegment)",
+        **_post(k),
+        "HomePhone": f"concat('557-', {k})",
+        "Extension": f"{k} % 10000",
+        "Photo": "'photo.bmp'",
+        "Notes": f"concat('Joined.\\nNo. ', {k})",
+        "ReportsTo": f"IF({k} % 11 <> 0, double({k} % 9 + 1), NULL)",
+    })
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One per part; the key is shifted by 100, so some order lines find no product."""
     k = "p_partkey"
-    return _with_copies(load(spark, sf_dir, "part"), k).select(
-        (F.col(k) + 100).cast("string").alias("ProductID"),
-        F.col("p_name").alias("ProductName"),
-        (F.col(k) % 100 + 1).cast("string").alias("SupplierID"),
-        F.when(_every(k, 31), F.lit(None)).otherwise((F.col("p_size") + 10).cast("string"))
-        .alias("CategoryID"),
-        F.col("p_brand").alias("QuantityPerUnit"),
-        F.when(_every(k, 23), F.lit("n/a")).otherwise(_text("p_retailprice")).alias("UnitPrice"),
-        _text("p_size").alias("UnitsInStock"),
-        F.when(_every(k, 7), F.lit("")).otherwise((F.col(k) % 40).cast("string")).alias("UnitsOnOrder"),
-        (F.col(k) % 30).cast("string").alias("ReorderLevel"),
-        _every(k, 3).alias("Discontinued"),
-    )
+    return _with_copies(load(spark, sf_dir, "part"), k, {
+        "ProductID": f"string({k} + 100)",
+        "ProductName": "p_name",
+        "SupplierID": f"string({k} % 100 + 1)",
+        "CategoryID": f"IF({k} % 31 <> 0, string(p_size + 10), NULL)",
+        "QuantityPerUnit": "p_brand",
+        "UnitPrice": f"IF({k} % 23 = 0, 'n/a', string(p_retailprice))",
+        "UnitsInStock": "string(p_size)",
+        "UnitsOnOrder": f"IF({k} % 7 = 0, '', string({k} % 40))",
+        "ReorderLevel": f"string({k} % 30)",
+        "Discontinued": f"{k} % 3 = 0",
+    })
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part, so that every category repeats many times; two empty columns."""
-    return load(spark, sf_dir, "part").select(
-        F.when(_every("p_partkey", 37), F.lit(None)).otherwise(_text("p_size")).alias("CategoryID"),
-        F.concat(F.lit(" Size "), _text("p_size"), F.lit(" ")).alias("CategoryName"),
-        F.concat(F.lit("Parts of size "), _text("p_size")).alias("Description"),
-        F.lit(None).cast("string").alias("Picture"),
-        F.when(_every("p_partkey", 2), F.lit(" ")).alias("Remarks"),
-    )
+    return _project(load(spark, sf_dir, "part"), {
+        "CategoryID": "IF(p_partkey % 37 <> 0, string(p_size), NULL)",
+        "CategoryName": "concat(' Size ', p_size, ' ')",
+        "Description": "concat('Parts of size ', p_size)",
+        "Picture": "CAST(NULL AS STRING)",
+        "Remarks": "IF(p_partkey % 2 = 0, ' ', NULL)",
+    })
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = "s_suppkey"
-    return _with_copies(load(spark, sf_dir, "supplier"), k).select(
-        F.when(_every(k, 41), F.lit(" ")).otherwise(_text(k)).alias("SupplierID"),
-        F.concat(F.lit(" "), F.col("s_name")).alias("CompanyName"),
-        *_contact(k, "Seller"),
-        F.when(_every(k, 3), F.lit("")).when(_every(k, 4), F.lit(None))
-        .otherwise(F.concat(F.lit("Region "), _text("s_nationkey"))).alias("Region"),
-        *_reach(k),
-        F.when(_every(k, 9), F.lit("https://supplier.example")).alias("HomePage"),
-    )
+    return _with_copies(load(spark, sf_dir, "supplier"), k, {
+        "SupplierID": f"IF({k} % 41 = 0, ' ', string({k}))",
+        "CompanyName": "concat(' ', s_name)",
+        **_contact(k, "Seller"),
+        "Region": f"CASE WHEN {k} % 3 = 0 THEN '' WHEN {k} % 4 = 0 THEN NULL "
+                  "ELSE concat('Region ', s_nationkey) END",
+        **_reach(k),
+        "HomePage": f"IF({k} % 9 = 0, 'https://supplier.example', NULL)",
+    })
 
 
 def shippers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier, keyed by its nation: many rows per key."""
-    return load(spark, sf_dir, "supplier").select(
-        F.concat(_text("s_nationkey"), F.lit("")).alias("ShipperID"),
-        F.concat(F.lit("  Carrier "), _text("s_nationkey"), F.lit("  ")).alias("CompanyName"),
-        F.concat(F.lit("558-"), _text("s_nationkey")).alias("Phone"),
-    )
+    return _project(load(spark, sf_dir, "supplier"), {
+        "ShipperID": "string(s_nationkey)",
+        "CompanyName": "concat('  Carrier ', s_nationkey, '  ')",
+        "Phone": "concat('558-', s_nationkey)",
+    })
 
 
 BUILDERS = {

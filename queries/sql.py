@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_COPIES = "FROM {t} CROSS JOIN (VALUES (0), (1)) AS c(copy) WHERE copy = 0 OR {k} % 10 = 0"
+_COPIES = "FROM (SELECT *, unnest(CASE WHEN {k} % 10 = 0 THEN [0, 1] ELSE [0] END) FROM {t})"
 
 
 def _contact(k: str, label: str) -> str:
@@ -45,8 +45,8 @@ RAW = {
         CASE WHEN copy = 2 THEN NULL WHEN o_orderkey % 7 = 0 THEN ' '
              ELSE o_orderpriority END AS "Region",
         'batch_' || (o_orderkey % 5) AS source_file
-      FROM orders CROSS JOIN (VALUES (0), (1), (2)) AS c(copy)
-      WHERE copy = 0 OR (copy = 1 AND o_orderkey % 10 = 0) OR (copy = 2 AND o_orderkey % 97 = 0)
+      FROM (SELECT *, unnest([0] || CASE WHEN o_orderkey % 10 = 0 THEN [1] ELSE [] END
+              || CASE WHEN o_orderkey % 97 = 0 THEN [2] ELSE [] END) AS copy FROM orders)
     """,
     "raw_order_details": """
       SELECT cast(l_orderkey AS VARCHAR) AS "OrderID",
