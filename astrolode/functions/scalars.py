@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from astrolode.functions.predicates import literal, not_blank_sql, quoted
-from astrolode.spec import DATE_KEY_FORMAT, UNKNOWN
+from astrolode.spec import UNKNOWN
 
 
 def safe_cast(df: DataFrame, name: str, target: str, date_format: str) -> Column:
@@ -34,8 +34,9 @@ def or_unknown(df: DataFrame, name: str, default: str = UNKNOWN) -> Column:
 
 
 def date_key(moment: Column) -> Column:
-    """20240131 for 31 January 2024."""
-    return F.date_format(F.to_date(moment), DATE_KEY_FORMAT).cast("int")
+    """20240131 for 31 January 2024, by arithmetic rather than through text."""
+    day = F.to_date(moment)
+    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def calendar_attributes(day: Column) -> dict[str, Column]:

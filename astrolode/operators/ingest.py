@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from astrolode.functions.provenance import FILE_PATH, stamp_source
+from astrolode.session import run_each
 from astrolode.sources.files import landing_schema, or_none, read_json_lines
 from astrolode.sources.sinks import append_parquet
 from astrolode.spec import CATALOG, SOURCE_FILE, TableSpec
@@ -98,9 +99,13 @@ def ingest_table(spark: SparkSession, spec: TableSpec, landing: str, bronze: str
 
 
 def ingest_all(spark: SparkSession, landing: str, bronze_path: Callable[[str], str],
-               specs: Iterable[TableSpec] = tuple(CATALOG.values())) -> list[IngestResult]:
+               specs: Iterable[TableSpec] = tuple(CATALOG.values()),
+               parallel: int = 1) -> list[IngestResult]:
     """Ingest every table; `bronze_path(name)` gives each its target."""
-    return [ingest_table(spark, s, landing, bronze_path(s.name)) for s in specs]
+    def work(spec: TableSpec) -> IngestResult:
+        return ingest_table(spark, spec, landing, bronze_path(spec.name))
+
+    return run_each(spark, work, specs, parallel)
 
 
 def total_new_rows(results: Iterable[IngestResult]) -> int:

@@ -1,0 +1,64 @@
+"""Joins that stay even when one key holds a large share of the rows.
+
+Run-time skew handling splits a hot partition into many tasks, but each of them reads the
+whole matching partition of the other side again. Where the other side has one row per key,
+as every dimension and the order heads do, there is a cheaper way: the hot keys' few rows
+are broadcast and their partners never leave the task that read them.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from astrolode.functions.predicates import quoted
+
+HOT_SHARE = 0.01
+# Sketch size: a value's count is off by at most about 0.03 % of the rows.
+_TRACKED = 10_000
+# A broadcast of reference rows for hot keys is refused beyond this count.
+MAX_BROADCAST_ROWS = 10_000
+
+
+def hot_values(df: DataFrame, columns: Sequence[str], share: float = HOT_SHARE) -> dict[str, list]:
+    """Per column, the values (None for NULL) that hold at least `share` of the rows.
+
+    One pass with a fixed-size sketch per task, no shuffle of keys; a column has at most
+    `1 / share` such values. What the sketch says decides only how a join runs, not what it
+    returns.
+    """
+    limit = math.ceil(1 / share)
+    sketches = (
+        f"approx_top_k({quoted(c)}, {limit}, {max(_TRACKED, limit)}) AS {quoted(c)}" for c in columns
+    )
+    found = df.selectExpr("count(1) AS _rows", *sketches).first()
+    floor = share * found["_rows"]
+    return {c: [e["item"] for e in found[c] if e["count"] >= floor] for c in columns}
+
+
+def join_unique(rows: DataFrame, reference: DataFrame, on: str, how: str = "left",
+                hot: Mapping[str, list] | None = None) -> DataFrame:
+    """Join to a reference with unique keys; `how` is "left" or "inner".
+
+    Without hot values this is the plain join: Spark broadcasts a reference below its size
+    threshold and otherwise sorts and merges. With them, rows of those keys are joined to
+    the broadcast reference rows of the same keys and the others as before. NULL keys match
+    nothing, so a hot NULL also stays where it is. If the reference holds more rows for the
+    hot keys than a broadcast may have (its keys are not unique), the plain join is used.
+    """
+    values = list((hot or {}).get(on, ()))
+    if not values:
+        return rows.join(reference, on, how)
+    key = F.col(quoted(on))
+    named = [v for v in values if v is not None]
+    few = reference.filter(key.isin(named))
+    if few.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
+        return rows.join(reference, on, how)
+    is_hot = F.coalesce(key.isin(named), F.lit(False))
+    if None in values:
+        is_hot = is_hot | key.isNull()
+    local = rows.filter(is_hot).join(F.broadcast(few), on, how)
+    return local.unionByName(rows.filter(~is_hot).join(reference, on, how))

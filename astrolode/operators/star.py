@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from astrolode.functions.predicates import quoted
 from astrolode.functions.provenance import built_at, source_system
 from astrolode.functions.scalars import calendar_attributes, date_key, line_amount
+from astrolode.operators.skew import hot_values, join_unique
 
 # Columns of the gold tables, with the new name where a column is renamed.
 _PLACE = ("Address", "City", "Region", "PostalCode", "Country")
@@ -60,20 +61,18 @@ def dim_employees(employees: DataFrame, source: str) -> DataFrame:
     return project(employees, EMPLOYEE_COLUMNS, source=source)
 
 
-def lookup(rows: DataFrame, reference: DataFrame, on: str) -> DataFrame:
-    """Left join to a table with unique keys; rows without a match keep NULLs.
-
-    No broadcast is forced: Spark broadcasts a reference below its size threshold, else
-    sorts and merges, and at run time splits a key that holds too many rows.
-    """
-    return rows.join(reference, on, "left")
+def _hot(df: DataFrame, columns: Sequence[str], share: float | None) -> dict[str, list]:
+    return hot_values(df, columns, share) if share else {}
 
 
-def dim_products(products: DataFrame, categories: DataFrame, source: str) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame, source: str,
+                 hot_share: float | None = None) -> DataFrame:
+    """Products with their category, if there is one; for `hot_share` see `fact_orders`."""
     category = categories.select(
         "CategoryID", "CategoryName", F.col("Description").alias("CategoryDescription")
     )
-    return lookup(products, category, "CategoryID").select(
+    hot = _hot(products, ["CategoryID"], hot_share)
+    return join_unique(products, category, "CategoryID", "left", hot).select(
         "ProductID", "ProductName", "SupplierID", "CategoryID", "CategoryName",
         "CategoryDescription", "QuantityPerUnit", F.col("UnitPrice").alias("ProductListPrice"),
         "UnitsInStock", "UnitsOnOrder", "ReorderLevel", "Discontinued", source_system(source),
@@ -100,23 +99,29 @@ def _amount(decimal: bool) -> Column:
 
 
 def fact_orders(order_details: DataFrame, orders: DataFrame, products: DataFrame,
-                decimal: bool = False) -> DataFrame:
-    """One row per order line.
+                decimal: bool = False, hot_share: float | None = None) -> DataFrame:
+    """One row per order line; orders and products must have unique keys.
 
     `Freight` belongs to the order and repeats on each of its lines: do not add it up.
     The amount is a double; `decimal=True` computes it exactly.
+
+    `hot_share` (such as 0.01) first looks, in one pass over the two key columns of the
+    lines, for keys with at least that share of the rows, and joins those without a shuffle.
+    Give it when the lines are a written table; on a computed frame that pass computes it.
     """
     lines = order_details.select("OrderID", "ProductID", "UnitPrice", "Quantity", "Discount")
+    # The date key is worked out once per order, not once per line.
     heads = orders.select(
         "OrderID", "CustomerID", "EmployeeID", F.col("ShipVia").alias("ShipperID"),
+        date_key(F.col("OrderDate")).alias("date_key"),
         "Freight", "OrderDate", "RequiredDate", "ShippedDate",
     )
-    joined = lookup(
-        lines.join(heads, "OrderID", "inner"), products.select("ProductID", "SupplierID"), "ProductID"
-    )
-    return joined.select(
-        "OrderID", "ProductID", "SupplierID", "CustomerID", "EmployeeID", "ShipperID",
-        date_key(F.col("OrderDate")).alias("date_key"),
+    goods = products.select("ProductID", "SupplierID")
+    hot = _hot(lines, ["OrderID", "ProductID"], hot_share)
+    # Products first: should both keys have hot values, the smaller join is the one repeated.
+    with_supplier = join_unique(lines, goods, "ProductID", "left", hot)
+    return join_unique(with_supplier, heads, "OrderID", "inner", hot).select(
+        "OrderID", "ProductID", "SupplierID", "CustomerID", "EmployeeID", "ShipperID", "date_key",
         "UnitPrice", "Quantity", "Discount", _amount(decimal).alias("TotalAmount"),
         "Freight", "OrderDate", "RequiredDate", "ShippedDate", built_at(),
     )

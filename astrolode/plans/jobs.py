@@ -6,21 +6,21 @@ action, and its row counts come from the write itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from astrolode.functions.provenance import stamp_batch_time
 from astrolode.operators import quality, star
 from astrolode.operators.clean import clean
 from astrolode.operators.ingest import IngestResult, ingest_all
+from astrolode.operators.skew import HOT_SHARE
 from astrolode.plans.lake import BRONZE, GOLD, SILVER, Lake
+from astrolode.session import run_each
 from astrolode.sources.files import or_none
 from astrolode.sources.sinks import overwrite_parquet, write_json_lines
-from astrolode.functions.provenance import stamp_batch_time
 from astrolode.spec import CATALOG, GOLD_TABLES, TableSpec
 
 
@@ -31,15 +31,6 @@ class CleanResult:
     rows_after: int
 
 
-def _each(spark: SparkSession, work: Callable, items: Iterable, parallel: int) -> list:
-    """Run `work` per item, up to `parallel` Spark jobs at a time, results in order."""
-    items = list(items)
-    if parallel <= 1 or len(items) <= 1:
-        return [work(item) for item in items]
-    with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
-
-
 def land_batch(df: DataFrame, lake: Lake, table: str, batch: str) -> str:
     """Land one batch of a table as JSON lines, stamped with the batch time."""
     path = f"{lake.landing}/{table}_batch_{batch}.json"
@@ -48,8 +39,11 @@ def land_batch(df: DataFrame, lake: Lake, table: str, batch: str) -> str:
 
 
 def landing_to_bronze(spark: SparkSession, lake: Lake,
-                      specs: Mapping[str, TableSpec] = CATALOG) -> list[IngestResult]:
-    return ingest_all(spark, lake.landing, lambda t: lake.path(BRONZE, t), specs.values())
+                      specs: Mapping[str, TableSpec] = CATALOG,
+                      parallel: int = 1) -> list[IngestResult]:
+    return ingest_all(
+        spark, lake.landing, lambda t: lake.path(BRONZE, t), specs.values(), parallel
+    )
 
 
 def bronze_report(spark: SparkSession, lake: Lake,
@@ -70,7 +64,7 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, specs: Mapping[str, TableS
         after = overwrite_parquet(clean(bronze, spec), lake.path(SILVER, spec.name))
         return CleanResult(spec.name, before, after)
 
-    return _each(spark, work, specs.values(), parallel)
+    return run_each(spark, work, specs.values(), parallel)
 
 
 def silver_gate(spark: SparkSession, lake: Lake, specs: Mapping[str, TableSpec] = CATALOG,
@@ -82,25 +76,28 @@ def silver_gate(spark: SparkSession, lake: Lake, specs: Mapping[str, TableSpec]
     return gate
 
 
-def gold_frames(silver: Mapping[str, DataFrame], source: str) -> dict[str, DataFrame]:
+def gold_frames(silver: Mapping[str, DataFrame], source: str,
+                hot_share: float | None = None) -> dict[str, DataFrame]:
     """The seven gold tables over the eight silver ones, not yet computed."""
     return {
         "dim_dates": star.dim_dates(silver["orders"]),
         "dim_customers": star.dim_customers(silver["customers"]),
         "dim_employees": star.dim_employees(silver["employees"], source),
-        "dim_products": star.dim_products(silver["products"], silver["categories"], source),
+        "dim_products": star.dim_products(
+            silver["products"], silver["categories"], source, hot_share
+        ),
         "dim_suppliers": star.dim_suppliers(silver["suppliers"], source),
         "dim_shippers": star.dim_shippers(silver["shippers"]),
         "fact_orders": star.fact_orders(
-            silver["order_details"], silver["orders"], silver["products"]
+            silver["order_details"], silver["orders"], silver["products"], hot_share=hot_share
         ),
     }
 
 
 def silver_to_gold(spark: SparkSession, lake: Lake, source: str, partition_fact_by_year: bool = False,
-                   parallel: int = 1) -> dict[str, int]:
+                   hot_share: float | None = HOT_SHARE, parallel: int = 1) -> dict[str, int]:
     """Build and overwrite gold; returns the rows written per table."""
-    frames = gold_frames(lake.read_layer(spark, SILVER, CATALOG), source)
+    frames = gold_frames(lake.read_layer(spark, SILVER, CATALOG), source, hot_share)
 
     def work(table: str) -> int:
         df, partition_by = frames[table], ()
@@ -108,7 +105,7 @@ def silver_to_gold(spark: SparkSession, lake: Lake, source: str, partition_fact_
             df, partition_by = df.withColumn("year", F.year("OrderDate")), ("year",)
         return overwrite_parquet(df, lake.path(GOLD, table), partition_by)
 
-    return dict(zip(GOLD_TABLES, _each(spark, work, GOLD_TABLES, parallel)))
+    return dict(zip(GOLD_TABLES, run_each(spark, work, GOLD_TABLES, parallel)))
 
 
 def gold_presence(spark: SparkSession, lake: Lake) -> dict[str, bool]:
@@ -133,4 +130,4 @@ def publish_gold(spark: SparkSession, lake: Lake, target, parallel: int = 1) ->
         return target.write(lake.read(spark, GOLD, table), publish_name(table))
 
     names = [publish_name(t) for t in GOLD_TABLES]
-    return dict(zip(names, _each(spark, work, GOLD_TABLES, parallel)))
+    return dict(zip(names, run_each(spark, work, GOLD_TABLES, parallel)))

@@ -5,7 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Semantics every job relies on: UTC clock, errors instead of silent overflow, and
@@ -61,3 +64,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="astrolode-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def run_each(spark: SparkSession, work: Callable, items: Iterable, parallel: int = 1) -> list:
+    """Run `work` per item, up to `parallel` Spark jobs at a time, results in order.
+
+    For the handful of tables of a catalog: small ones fill the gaps a large one leaves.
+    """
+    items = list(items)
+    if parallel <= 1 or len(items) <= 1:
+        return [work(item) for item in items]
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))

@@ -11,7 +11,6 @@ from dataclasses import dataclass, field, replace
 # The formats and names the source feed and the report consumers use.
 DATE_TIME_FORMAT = "M/d/yyyy H:mm"
 DATE_OPTIONAL_TIME_FORMAT = "M/d/yyyy[ H:mm]"
-DATE_KEY_FORMAT = "yyyyMMdd"
 BATCH_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 UNKNOWN = "Unknown"
 SOURCE_FILE = "source_file"

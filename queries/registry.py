@@ -13,9 +13,10 @@ from astrolode.functions.scalars import line_amount
 from astrolode.operators import quality, star
 from astrolode.operators.clean import clean, drop_empty_columns
 from astrolode.operators.ingest import ingest_table, unseen_rows
+from astrolode.operators.skew import HOT_SHARE
 from astrolode.plans import jobs
 from astrolode.plans.lake import BRONZE, GOLD, SILVER, Lake
-from astrolode.session import apply_defaults, shared_dir
+from astrolode.session import apply_defaults, run_each, shared_dir
 from astrolode.sources import files, sinks
 from astrolode.spec import CATALOG, DATE_TIME_FORMAT, PROVENANCE, SOURCE_FILE, TableSpec
 from astrolode.streaming.clean import clean_stream, clean_stream_within, read_silver
@@ -33,6 +34,8 @@ class Entry:
 
 ENTRIES: dict[str, Entry] = {}
 
+PARALLEL = 4
+
 
 def query(oracle: str | None) -> Callable[[Query], Query]:
     """Register a function under its own name, together with its SQL counterpart."""
@@ -102,7 +105,9 @@ def _goods(spark: SparkSession, sf_dir: str) -> DataFrame:
     LEFT JOIN part ON l_partkey = p_partkey + 100
 """)
 def fact_orders(spark, sf_dir):
-    fact = star.fact_orders(_lines(spark, sf_dir), _heads(spark, sf_dir), _goods(spark, sf_dir))
+    fact = star.fact_orders(
+        _lines(spark, sf_dir), _heads(spark, sf_dir), _goods(spark, sf_dir), hot_share=HOT_SHARE
+    )
     return fact.drop("gold_created_at")
 
 
@@ -492,14 +497,15 @@ _ALL_COUNTS = " UNION ALL ".join(
 
 def _land_all(spark: SparkSession, sf_dir: str) -> tuple[Lake, dict[str, TableSpec]]:
     lake = _lake(spark)
-    specs = {t: _landed(df, t, lake, "1") for t, df in raw.tables(spark, sf_dir).items()}
-    return lake, specs
+    frames = raw.tables(spark, sf_dir)
+    specs = run_each(spark, lambda t: _landed(frames[t], t, lake, "1"), frames, PARALLEL)
+    return lake, dict(zip(frames, specs))
 
 
 @query(_ALL_COUNTS)
 def ing_all_tables(spark, sf_dir):
     lake, specs = _land_all(spark, sf_dir)
-    results = jobs.landing_to_bronze(spark, lake, specs)
+    results = jobs.landing_to_bronze(spark, lake, specs, PARALLEL)
     rows = [(r.table, r.status, r.new_rows) for r in results]
     return spark.createDataFrame(rows, "table_name STRING, status STRING, new_rows BIGINT")
 
@@ -590,9 +596,9 @@ def silver_overwrite(spark, sf_dir):
 def _medallion(spark: SparkSession, sf_dir: str) -> Lake:
     """Landing to gold over files, all eight tables."""
     lake, specs = _land_all(spark, sf_dir)
-    jobs.landing_to_bronze(spark, lake, specs)
-    jobs.bronze_to_silver(spark, lake, specs, parallel=4)
-    jobs.silver_to_gold(spark, lake, raw.SOURCE, parallel=4)
+    jobs.landing_to_bronze(spark, lake, specs, PARALLEL)
+    jobs.bronze_to_silver(spark, lake, specs, PARALLEL)
+    jobs.silver_to_gold(spark, lake, raw.SOURCE, parallel=PARALLEL)
     return lake
 
 
@@ -608,7 +614,7 @@ def medallion_fact_orders(spark, sf_dir):
 def publish_gold(spark, sf_dir):
     lake = _medallion(spark, sf_dir)
     target = sinks.files("parquet", f"{lake.base}/published")
-    published = jobs.publish_gold(spark, lake, target, parallel=4)
+    published = jobs.publish_gold(spark, lake, target, parallel=PARALLEL)
     return quality.row_counts({t: spark.read.parquet(f"{lake.base}/published/{t}") for t in published})
 
 
