@@ -35,17 +35,24 @@ class QualityError(RuntimeError):
 
 
 def _check(name: str, column_name: str | None, value: str, flagged: str | None = None) -> str:
-    """One check as SQL text of a struct."""
+    """One check as SQL text of four values."""
     named = "CAST(NULL AS STRING)" if column_name is None else literal(column_name)
-    return (
-        f"struct('{name}' AS check_name, {named} AS column_name, "
-        f"CAST({value} AS BIGINT) AS value, {flagged or f'{value} > 0'} AS flagged)"
-    )
+    return f"'{name}', {named}, CAST({value} AS BIGINT), {flagged or f'{value} > 0'}"
 
 
 def _as_rows(counts: DataFrame, table: str, checks: Iterable[str]) -> DataFrame:
-    rows = f"inline(array({', '.join(checks)}))"
-    return counts.select(F.lit(table).alias("table_name"), F.expr(rows))
+    """Turn the one row of counts into a row per check."""
+    checks = list(checks)
+    rows = f"stack({len(checks)}, {', '.join(checks)})"
+    return counts.selectExpr(
+        f"{literal(table)} AS table_name", f"{rows} AS (check_name, column_name, value, flagged)"
+    )
+
+
+def _count(condition: str) -> str:
+    # Not `count_if`: it names its condition in a projection below, and where one named
+    # condition contains others, a filter above makes Spark try every mix of the names.
+    return f"count(CASE WHEN {condition} THEN 1 END)"
 
 
 def column_checks(df: DataFrame, table: str, required: Sequence[str] = (),
@@ -60,8 +67,8 @@ def column_checks(df: DataFrame, table: str, required: Sequence[str] = (),
     business = [n for n in names if n not in ignored]
     counts = df.selectExpr(
         "count(1) AS rows",
-        f"count_if({all_blank_sql(df, business)}) AS fully_blank",
-        *(f"count_if(NOT {not_blank_sql(df, n)}) AS blank_{i}" for i, n in enumerate(names)),
+        f"{_count(all_blank_sql(df, business))} AS fully_blank",
+        *(f"{_count('NOT ' + not_blank_sql(df, n))} AS blank_{i}" for i, n in enumerate(names)),
     )
     blanks = {n: f"blank_{i}" for i, n in enumerate(names)}
     checks = [_check(ROWS, None, "rows", "false"), _check(FULLY_BLANK, None, "fully_blank")]

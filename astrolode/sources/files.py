@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from astrolode.spec import CORRUPT_RECORD
+from astrolode.spec import BATCH_TIME, CORRUPT_RECORD
 
 # Conditions that mean "nothing there yet"; any other analysis error is a real one.
 ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -26,10 +26,12 @@ def or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def landing_schema(ddl: str, keep_corrupt: bool = True) -> T.StructType:
-    """Declared landing schema, with a column for the text of lines that do not fit it."""
+    """Declared landing schema, plus the producer's batch time and, unless declined, a
+    column for the text of lines that do not fit."""
     schema = T.StructType.fromDDL(ddl)
-    if keep_corrupt and CORRUPT_RECORD not in schema.names:
-        schema = schema.add(CORRUPT_RECORD, T.StringType())
+    for name in (BATCH_TIME, CORRUPT_RECORD) if keep_corrupt else (BATCH_TIME,):
+        if name not in schema.names:
+            schema = schema.add(name, T.StringType())
     return schema
 
 

@@ -390,7 +390,7 @@ def _landed(df: DataFrame, table: str, lake: Lake, batch: str) -> TableSpec:
     landing = df.drop(SOURCE_FILE)
     jobs.land_batch(landing, lake, table, batch)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in landing.schema.fields)
-    return CATALOG[table].with_(landing_ddl=f"{ddl}, ingestion_time STRING")
+    return CATALOG[table].with_(landing_ddl=ddl)
 
 
 @query("SELECT * FROM orders")

@@ -1,8 +1,11 @@
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from astrolode.operators import quality as q
+from astrolode.operators.clean import clean
 from astrolode.spec import CATALOG, TableSpec
 
 DDL = "id STRING, name STRING, empty STRING, source_file STRING"
@@ -120,3 +123,13 @@ def test_catalog_requirements_are_complete():
     for spec in CATALOG.values():
         assert spec.keys and spec.required_bronze and spec.required_silver
         assert set(spec.keys) <= set(spec.required_silver)
+
+
+def test_wide_tables_plan_quickly(spark):
+    names = [f"c{i}" for i in range(60)]
+    wide = spark.range(3).selectExpr(*(f"string(id) AS {n}" for n in names))
+    start = time.monotonic()
+    assert q.column_checks(wide, "t", names).filter("flagged").count() == 0
+    spec = TableSpec("t", "", keys=("c0",), trims=tuple(names[1:40]))
+    assert clean(wide, spec).filter("c5 <> 'x'").count() == 3
+    assert time.monotonic() - start < 60

@@ -1,0 +1,109 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from astrolode.operators.clean import clean
+from astrolode.operators.ingest import ingest_table
+from astrolode.spec import TableSpec
+from astrolode.streaming.clean import _upsert_new_keys, clean_stream, clean_stream_within, read_silver
+from astrolode.streaming.ingest import ingest_stream
+
+SPEC = TableSpec("things", "id STRING, name STRING, at TIMESTAMP", keys=("id",), types={"id": "int"}, trims=("name",))
+
+
+def land(folder, name, rows):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
+
+
+def business(df):
+    return sorted(map(str, df.drop("source_file", "bronze_ingestion_time").collect()))
+
+
+def test_stream_ingest_equals_batch_ingest(spark, tmp_path):
+    zone, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    streamed, batched = str(tmp_path / "streamed"), str(tmp_path / "batched")
+
+    def both():
+        ingest_stream(spark, SPEC, str(zone), streamed, checkpoint).awaitTermination()
+        ingest_table(spark, SPEC, str(zone), batched)
+        return spark.read.parquet(streamed), spark.read.parquet(batched)
+
+    land(zone, "things_a.json", [{"id": "1", "name": "x"}, {"id": "2"}])
+    first, _ = both()
+    assert first.count() == 2
+    again, _ = both()
+    assert again.count() == 2
+    land(zone, "things_b.json", [{"id": "3", "name": "y"}])
+    stream, batch = both()
+    assert stream.count() == 3
+    assert business(stream) == business(batch)
+    assert stream.select("source_file").exceptAll(batch.select("source_file")).isEmpty()
+
+
+def test_batch_size_is_bounded(spark, tmp_path):
+    zone = tmp_path / "landing"
+    for i in range(5):
+        land(zone, f"things_{i}.json", [{"id": str(i)}])
+    query = ingest_stream(
+        spark, SPEC, str(zone), str(tmp_path / "b"), str(tmp_path / "c"), max_files_per_trigger=2
+    )
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [2, 2, 1]
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 5
+
+
+SCHEMA = "id STRING, name STRING, at TIMESTAMP"
+
+
+def batches(spark, folder, *parts):
+    for part in parts:
+        df = spark.createDataFrame(part, "id STRING, name STRING, at STRING")
+        df = df.withColumn("at", F.col("at").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(folder)
+
+
+PARTS = (
+    [("1", " a ", "2024-01-01 00:00:00"), ("1", " a ", "2024-01-01 00:00:00"), ("x", "bad", None)],
+    [("1", " a ", "2024-01-01 00:00:00"), ("2", "b", "2024-01-01 00:05:00"), (None, None, None)],
+    [("2", "b", "2024-01-01 00:05:00"), ("3", "c", "2024-01-01 00:06:00")],
+)
+WANT = [(1, "a"), (2, "b"), (3, "c")]
+
+
+def stream_of(spark, folder):
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@pytest.mark.parametrize("kind", ["upsert", "watermark"])
+def test_stream_clean_keeps_one_row_per_key_over_batches(spark, tmp_path, kind):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def run():
+        if kind == "upsert":
+            clean_stream(stream_of(spark, source), SPEC, out, checkpoint).awaitTermination()
+            df = read_silver(spark, out)
+        else:
+            clean_stream_within(
+                stream_of(spark, source), SPEC, "at", "1 day", out, checkpoint
+            ).awaitTermination()
+            df = spark.read.parquet(out)
+        return sorted((r.id, r.name) for r in df.collect())
+
+    batches(spark, source, *PARTS[:2])
+    assert run() == WANT[:2]
+    assert run() == WANT[:2]
+    batches(spark, source, PARTS[2])
+    assert run() == WANT
+    assert len(clean(spark.read.parquet(source), SPEC).collect()) == 3
+
+
+def test_running_a_batch_again_changes_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    frames = [spark.createDataFrame([(i, n, None) for i, n, _ in part], SCHEMA) for part in PARTS]
+    write = _upsert_new_keys(SPEC, out)
+    for batch_id, frame in enumerate(frames):
+        write(frame, batch_id)
+        write(frame, batch_id)
+    assert sorted((r.id, r.name) for r in read_silver(spark, out).collect()) == WANT
