@@ -10,15 +10,23 @@ from astrolode.functions.provenance import stamp_source
 from astrolode.sources.files import landing_schema
 from astrolode.spec import CORRUPT_RECORD, TableSpec
 
+ANY_AGE = "36500d"
+
 
 def landing_stream(spark: SparkSession, spec: TableSpec, landing: str,
                    schema: T.StructType | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """New landing files of one table, stamped; `max_files_per_trigger` bounds a batch."""
+                   max_files_per_trigger: int | None = None,
+                   max_file_age: str = ANY_AGE) -> DataFrame:
+    """New landing files of one table, stamped; `max_files_per_trigger` bounds a batch.
+
+    A file counts however old it is. A shorter `max_file_age` (from the newest file) lets
+    the source forget old names, at the price of passing over files that land that late.
+    """
     reader = (
         spark.readStream.schema(schema or landing_schema(spec.landing_ddl))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+        .option("maxFileAge", max_file_age)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +56,21 @@ def test_batch_size_is_bounded(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "b")).count() == 5
 
 
+def test_a_late_file_with_an_old_time_counts(spark, tmp_path):
+    zone = tmp_path / "landing"
+
+    def rows():
+        ingest_stream(spark, SPEC, str(zone), str(tmp_path / "b"), str(tmp_path / "c")).awaitTermination()
+        return spark.read.parquet(str(tmp_path / "b")).count()
+
+    land(zone, "things_a.json", [{"id": "1"}])
+    assert rows() == 1
+    land(zone, "things_b.json", [{"id": "2"}])
+    month_ago = time.time() - 30 * 86400
+    os.utime(zone / "things_b.json", (month_ago, month_ago))
+    assert rows() == 2
+
+
 SCHEMA = "id STRING, name STRING, at TIMESTAMP"
 
 
