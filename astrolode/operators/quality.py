@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astrolode.functions.predicates import (
@@ -181,3 +181,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.selectExpr("count(1) AS rows").select(F.lit(name).alias("table_name"), "rows")
         for name, df in tables.items()
     )
+
+
+def presence(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
+    """Per expected table whether it is there, and its rows (0 if not)."""
+    missing = [(name, False, 0) for name, df in tables.items() if df is None]
+    parts = [spark.createDataFrame(missing, "table_name STRING, found BOOLEAN, rows BIGINT")]
+    found = {name: df for name, df in tables.items() if df is not None}
+    if found:
+        parts.append(row_counts(found).selectExpr("table_name", "true AS found", "rows"))
+    return _union(parts)

@@ -108,11 +108,10 @@ def silver_to_gold(spark: SparkSession, lake: Lake, source: str, partition_fact_
     return dict(zip(GOLD_TABLES, run_each(spark, work, GOLD_TABLES, parallel)))
 
 
-def gold_presence(spark: SparkSession, lake: Lake) -> dict[str, bool]:
-    """Which of the expected gold tables are there."""
-    return {
-        t: or_none(lambda t=t: lake.read(spark, GOLD, t)) is not None for t in GOLD_TABLES
-    }
+def gold_presence(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Which of the expected gold tables are there, with their rows."""
+    found = {t: or_none(lambda t=t: lake.read(spark, GOLD, t)) for t in GOLD_TABLES}
+    return quality.presence(spark, found)
 
 
 def gold_summary(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -435,12 +435,7 @@ def ing_missing_source(spark, sf_dir):
         "orders": lambda: raw.load(spark, sf_dir, "orders"),
         "returns": lambda: files.read_json_lines(spark, f"{absent}/returns_*.json", "id BIGINT"),
     })
-    found = quality.row_counts({t: r.df for t, r in results.items() if r.df is not None})
-    missing = spark.createDataFrame(
-        [(t, False, 0) for t, r in results.items() if r.df is None],
-        "table_name STRING, found BOOLEAN, rows BIGINT",
-    )
-    return found.select("table_name", F.lit(True).alias("found"), "rows").unionByName(missing)
+    return quality.presence(spark, {t: r.df for t, r in results.items()})
 
 
 _EARLY = f"{SOURCE_FILE} IN ('batch_0', 'batch_3')"
@@ -608,6 +603,23 @@ def medallion_fact_orders(spark, sf_dir):
     return naive_times(fact.drop("gold_created_at"))
 
 
+_WRITTEN = ("dim_dates", "dim_products")
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, true AS found, count(*) AS \"rows\" FROM {t}" if t in _WRITTEN
+    else f"SELECT '{t}' AS table_name, false AS found, 0 AS \"rows\""
+    for t in sql.GOLD
+))
+def gold_presence(spark, sf_dir):
+    """A lake in which only two of the gold tables have been written yet."""
+    lake = _lake(spark)
+    frames = jobs.gold_frames({t: silver(spark, sf_dir, t) for t in CATALOG}, raw.SOURCE)
+    for table in _WRITTEN:
+        sinks.overwrite_parquet(frames[table], lake.path(GOLD, table))
+    return jobs.gold_presence(spark, lake)
+
+
 @query(" UNION ALL ".join(
     f"SELECT '{t.upper()}' AS table_name, count(*) AS \"rows\" FROM {t}" for t in sql.GOLD
 ))

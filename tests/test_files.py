@@ -115,3 +115,16 @@ def test_session_settings(spark):
     assert first.startswith(base) and first != second
 
 
+def test_scratch_needs_a_shared_folder_off_a_local_session():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session(), "x")

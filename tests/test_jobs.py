@@ -56,13 +56,15 @@ def test_landing_to_gold(spark, lake, tmp_path):
     gate = {r.table_name: r.status for r in jobs.silver_gate(spark, lake, strict=True).collect()}
     assert set(gate.values()) == {"CLEAN"} and set(gate) == set(CATALOG)
 
-    assert set(jobs.gold_presence(spark, lake).values()) == {False}
+    presence = jobs.gold_presence(spark, lake).collect()
+    assert [(r.table_name, r.found, r.rows) for r in presence] == [(t, False, 0) for t in GOLD_TABLES]
     built = jobs.silver_to_gold(spark, lake, "shop", parallel=3)
     assert built == {
         "dim_dates": 2, "dim_customers": 2, "dim_employees": 1, "dim_products": 1,
         "dim_suppliers": 1, "dim_shippers": 1, "fact_orders": 2,
     }
-    assert set(jobs.gold_presence(spark, lake).values()) == {True}
+    presence = jobs.gold_presence(spark, lake).collect()
+    assert all(r.found for r in presence) and {r.table_name: r.rows for r in presence} == built
     gold = lake.read_layer(spark, GOLD, GOLD_TABLES)
     assert {r.table_name: r.rows for r in jobs.gold_summary(gold).collect()} == built
     facts = {r.OrderID: r for r in gold["fact_orders"].collect()}
