@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from astrolode.llm import bpe, exact_dedup, packing, sharding, url_filter
+from astrolode.llm import bpe, exact_dedup, packing, sharding, simhash, toxicity, url_filter
 from astrolode.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,15 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -44,7 +53,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op1_bpe, op3_exact_dedup, op7_sharding, op8_packing, op10_url_filter)
+    q.__name__: q for q in (
+        op1_bpe, op3_exact_dedup, op4_toxicity, op6_simhash, op7_sharding, op8_packing,
+        op10_url_filter)
 }
 
 ORACLES = {
