@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from astrolode.llm.binary_fuse import BinaryFuse
-from astrolode.llm.common import key_type, texts, written
+from astrolode.llm.common import key_type, texts, with_row, written
 
 FILTER_KEYS = 1 << 18
 BATCHES = 2
@@ -108,33 +108,47 @@ def dedup(docs: DataFrame, digest=digest_of) -> DataFrame:
     """Per row: who of its equal texts stays (the smallest doc_id), how many they are.
 
     Half of the rows, by a hash of doc_id, are the snapshot, the others arrive as a new batch. A
-    null text counts as empty, and all empty texts are equal. Null doc_ids are counted but stay
-    only where no other copy has an id (then `keep_id` is null and one of them cannot be told
-    from another: all are marked as kept). Rows that repeat the smallest doc_id with the same
-    text are all marked as kept. An empty table gives an empty result; extra columns are left out.
+    null text counts as empty, and all empty texts are equal. Rows without a doc_id are counted,
+    but one stays only if no equal text has an id (`keep_id` is then null). Exactly one row of
+    equal texts is kept, also where its doc_id or the whole row is repeated. An empty table gives
+    an empty result; extra columns are left out.
     """
-    rows = fingerprinted(docs, digest)
-    addresses = written(rows.drop("norm"), "addresses")
+    return _dedup(fingerprinted(docs, digest)).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def _dedup(rows: DataFrame) -> DataFrame:
+    addresses = written(with_row(rows.drop("norm")), "addresses")
     snapshot = written(group_batch(rows.filter("batch = 0")), "snapshot")
     incoming = written(group_batch(rows.filter("batch <> 0")), "incoming")
     ranges = max(1, math.ceil(snapshot.count() / FILTER_KEYS))
     positives = screen(incoming, filters(snapshot, ranges), ranges)
     joint = written(same_bytes(positives, incoming, snapshot), "joint")
+    # Only settles which of several rows with the smallest doc_id stays.
+    first = addresses.groupBy(*_GROUP).agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("first"))
     group = (
         snapshot.select(*_GROUP, "keep_id", "group_size", F.lit(True).alias("old"))
         .unionByName(incoming.select(*_GROUP, "keep_id", "group_size", F.lit(False).alias("old")))
-        .join(joint, _GROUP, "left")
-        .select(*_GROUP, "old", F.coalesce("joint_keep", "keep_id").alias("keep_id"),
+        .join(joint, _GROUP, "left").join(first, _GROUP)
+        .select(*_GROUP, "old", "first", F.coalesce("joint_keep", "keep_id").alias("keep_id"),
                 F.coalesce("joint_size", "group_size").alias("group_size"))
     )
     found = addresses.withColumn("old", F.col("batch") == 0).join(group, [*_GROUP, "old"])
-    return found.select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.col("digest").alias("text_sha256"),
-    )
+    return found.withColumn("kept", F.col("_row") == F.col("first"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents with every copy of a text but one left out; all columns stay."""
-    stay = dedup(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
+    """One document of each group of equal texts; all columns stay as they are."""
+    stay = _dedup(fingerprinted(docs)).filter("kept").select("doc_id", "digest")
+    stay = written(stay, "stay")
+    text = F.coalesce(docs["text"], F.lit(""))
+    same = docs["doc_id"].eqNullSafe(stay["doc_id"]) & (
+        digest_of(normalised(text)) == stay["digest"])
+    kept = docs.join(stay, same, "left_semi")
+    # Only where doc_ids are repeated can several rows meet one that stays.
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    name = "_" * (1 + max(map(len, docs.columns)))
+    return kept.withColumn(name, digest_of(normalised(F.coalesce("text", F.lit(""))))).dropDuplicates(
+        ["doc_id", name]).drop(name)

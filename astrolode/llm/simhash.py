@@ -252,7 +252,8 @@ def components(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Dat
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The documents with the smallest doc_id of their component; all columns stay.
 
-    A component without any doc_id keeps its rows, as none can be named.
+    Rows that share a doc_id are one document: they stay if one of them has the smallest id of
+    its component. A component without any doc_id keeps its rows, as none can be named.
     """
     stay = components(docs, shingle, bits).filter(
         F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
