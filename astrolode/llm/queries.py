@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from astrolode.llm import bpe, exact_dedup, packing, sharding, simhash, toxicity, url_filter
+from astrolode.llm import bpe, exact_dedup, fingerprints, packing, sharding, simhash, toxicity, url_filter
 from astrolode.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_versions(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
-        op1_bpe, op3_exact_dedup, op4_toxicity, op6_simhash, op7_sharding, op8_packing,
+        op1_bpe, op3_exact_dedup, op4_toxicity, op5_fingerprints, op6_simhash, op7_sharding, op8_packing,
         op10_url_filter)
 }
 
