@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from astrolode.llm import bpe, exact_dedup, fingerprints, packing, sharding, simhash, toxicity, url_filter
+from astrolode.llm import bpe, exact_dedup, fingerprints, html_crf, packing, sharding, simhash, toxicity, url_filter
 from astrolode.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op2_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.learn(pages))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -58,8 +63,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
-        op1_bpe, op3_exact_dedup, op4_toxicity, op5_fingerprints, op6_simhash, op7_sharding, op8_packing,
-        op10_url_filter)
+        op1_bpe, op2_html_crf, op3_exact_dedup, op4_toxicity, op5_fingerprints, op6_simhash,
+        op7_sharding, op8_packing, op10_url_filter)
 }
 
 ORACLES = {
