@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from astrolode.llm import bpe, exact_dedup, fingerprints, html_crf, packing, sharding, simhash, toxicity, url_filter
+from pyspark.sql import functions as F
+
+from astrolode.llm import (
+    bpe,
+    exact_dedup,
+    fingerprints,
+    html_crf,
+    lm_score,
+    packing,
+    sharding,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from astrolode.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +69,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is text labelled as of good quality, without the rows that are held out."""
+    labels = table(spark, sf_dir, "labels")
+    good = labels.filter((F.col("quality") == 1) & ~toxicity.held_out(F.col("doc_id")))
+    return lm_score.score(table(spark, sf_dir, "documents"), good, WORD_BPE)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), SITE_RULES + WORD_RULES)
 
@@ -64,7 +83,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
         op1_bpe, op2_html_crf, op3_exact_dedup, op4_toxicity, op5_fingerprints, op6_simhash,
-        op7_sharding, op8_packing, op10_url_filter)
+        op7_sharding, op8_packing, op9_lm_score, op10_url_filter)
 }
 
 ORACLES = {
