@@ -23,14 +23,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from astrolode.llm.common import key_type, texts
+from astrolode.llm.common import gathered, key_type, texts
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 CACHED_LENGTH = 64
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 8_000_000
 _NONE = np.int32(2**31 - 1)
 
 # str.split() also cuts at these four control characters; the tokenizer takes them as symbols.
@@ -87,6 +88,10 @@ class Vocabulary:
         keys = (left << 16) | right
         order = np.argsort(keys)
         self._keys, self._ranks = keys[order], order.astype(np.int32)
+        # The pairs of single bytes, where every word begins, are looked up once for all.
+        a, b = np.divmod(np.arange(1 << 16), 256)
+        self._inner_pairs = self._rank(self._inner[a], self._inner[b])
+        self._last_pairs = self._rank(self._inner[a], self._last[b])
         letters, numbers = _members("L"), _members("N")
         self._split = re.compile(
             f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]"
@@ -119,8 +124,10 @@ class Vocabulary:
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         # rank[i] is that of the pair (i, i + 1), none at the end of a word.
         rank = np.full(len(symbols), _NONE, np.int32)
-        if len(symbols) > 1:
-            rank[:-1] = self._rank(symbols[:-1], symbols[1:])
+        pairs = (raw[:-1].astype(np.int64) << 8) | raw[1:]
+        rank[:-1] = self._inner_pairs[pairs]
+        closing = (ends - 2)[np.diff(ends, prepend=0) > 1]
+        rank[closing] = self._last_pairs[pairs[closing]]
         rank[ends - 1] = _NONE
         while len(names):
             best = np.minimum.reduceat(rank, starts)
@@ -187,11 +194,12 @@ class Vocabulary:
 
     def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
         """The ids of the given raw words, as little-endian 32-bit bytes."""
-        order: tuple[list[str], list[str]] = [], []
-        for w in words:
-            order[not w.isascii() and self._unstable.search(w) is not None].append(w)
-        pieces = self._pieces(order[0]) if order[0] else []
-        for w in order[1]:
+        plain, other = list(words), []
+        if self._unstable.search("\n".join(plain)):
+            other = [w for w in plain if self._unstable.search(w)]
+            plain = list(set(plain).difference(other))
+        pieces = self._pieces(plain) if plain else []
+        for w in other:
             pieces += self._pieces_by_file(w)
         # Neither pieces nor words hold spaces or line feeds: these separate them here.
         raw = np.frombuffer(" ".join(pieces).encode() + b" ", np.uint8)
@@ -201,45 +209,63 @@ class Vocabulary:
         inside = ~(space | line)
         ids, lengths = self.merge_words(raw[inside], np.cumsum(inside)[last])
         words_before = np.cumsum(line)[last]
-        total = np.bincount(words_before, weights=lengths, minlength=len(order[0]) + len(order[1]))
+        total = np.bincount(words_before, weights=lengths, minlength=len(plain) + len(other))
         cuts = np.concatenate(([0], np.cumsum(total).astype(np.int64) * 4)).tolist()
         flat = ids.tobytes()
-        return {w: flat[a:b] for w, a, b in zip([*order[0], *order[1]], cuts, cuts[1:], strict=False)}
-
-    def _cut(self, text: str) -> list[str]:
-        if _SEPARATORS.search(text):
-            return _WORDS_WITH_SEPARATORS.findall(text)
-        return text.split()
+        return {w: flat[a:b] for w, a, b in zip(plain + other, cuts, cuts[1:], strict=False)}
 
     def encode_batch(self, batch: Sequence[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        held: list[tuple[list[str], ...]] = []
-        chars = 0
+        held, chars = [], 0
         for text in batch:
-            parts = self._specials.split(text) if any(m in text for m in self._marks) else [text]
-            held.append(tuple([p] if p in self.special else self._cut(p) for p in parts))
+            held.append(text)
             chars += len(text)
             if chars >= CHUNK_CHARS:
                 yield from self._encode(held)
                 held, chars = [], 0
-        yield from self._encode(held)
-
-    def _encode(self, held) -> Iterator[bytes]:
-        wanted = set().union(*(p for parts in held for p in parts))
-        if len(self._cache) > CACHED_WORDS:  # what is frequent is in this chunk, too
-            self._cache = {w: self._cache[w] for w in wanted & self._cache.keys()}
-        for mark, name in self.special.items():
-            self._cache[mark] = int(name).to_bytes(4, "little")
-        missing = wanted - self._cache.keys()
-        found = self._learn(missing) if missing else {}
-        long = {w: found.pop(w) for w in [w for w in found if len(w) > CACHED_LENGTH]}
-        self._cache.update(found)
-        look = self._cache.__getitem__
-        if long:
-            def look(w, cache=self._cache):
-                return long[w] if w in long else cache[w]
-        for parts in held:
-            yield b"".join(b"".join(map(look, part)) for part in parts)
+        if held:
+            yield from self._encode(held)
+
+    def _odd(self, text: str) -> list[str] | None:
+        """The words of a text that white space alone does not cut rightly, else None."""
+        parts = self._specials.split(text) if any(m in text for m in self._marks) else [text]
+        if len(parts) == 1 and not _SEPARATORS.search(text):
+            return None
+        return [w for p in parts
+                for w in ([p] if p in self.special else _WORDS_WITH_SEPARATORS.findall(p))]
+
+    def _encode(self, held: list[str]) -> Iterator[bytes]:
+        """Each different word of the texts is looked up once; Arrow cuts, counts and puts together."""
+        odd = {i: ws for i, text in enumerate(held) if (ws := self._odd(text)) is not None}
+        plain = [None if i in odd else text for i, text in enumerate(held)]
+        words = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        found = self._look_up(different, {w for ws in odd.values() for w in ws})
+        ids = pa.array([found[w] for w in different], pa.large_binary()).take(coded.indices)
+        flat = ids.buffers()[2] if len(ids) else None
+        ends = _offsets(ids)[words.offsets.to_numpy()].tolist()
+        for i, (start, end) in enumerate(zip(ends, ends[1:], strict=False)):
+            if i in odd:
+                yield b"".join(found[w] for w in odd[i])
+            else:
+                yield flat[start:end].to_pybytes() if end > start else b""
+
+    def _look_up(self, different: list[str], more: set[str]) -> dict[str, bytes]:
+        """The ids of the given words, from the cache or newly encoded."""
+        cache = self._cache
+        found = {w: cache.get(w) for w in (*different, *more)}
+        missing = [w for w, ids in found.items() if ids is None and w and w not in self.special]
+        learnt = self._learn(missing) if missing else {}
+        found.update(learnt)
+        found[""] = b""
+        found.update((m, int(i).to_bytes(4, "little")) for m, i in self.special.items())
+        if len(cache) > CACHED_WORDS:  # what is frequent is in this chunk, too
+            self._cache = cache = {w: cache[w] for w in found.keys() & cache.keys()}
+        for w in [w for w in learnt if len(w) > CACHED_LENGTH]:
+            del learnt[w]
+        cache.update(learnt)
+        return found
 
     def decode(self, ids: bytes) -> bytes:
         """The text of ids (as `encode_batch` gives them), in UTF-8.
@@ -250,6 +276,13 @@ class Vocabulary:
         return b" ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
+def _offsets(array: pa.Array) -> np.ndarray:
+    """Where the values of a large binary array begin and end."""
+    if not len(array):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(array.buffers()[1], np.int64, len(array) + 1, array.offset * 8)
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     """One per Python worker: its tables and cache serve all tasks that run there."""
@@ -264,7 +297,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
     def run(batches):
         vocab = vocabulary(path)
-        for batch in batches:
+        for batch in gathered(batches, CHUNK_CHARS):
             ids = pa.array(vocab.encode_batch(batch["text"].to_pylist()), pa.binary())
             yield pa.record_batch([batch["doc_id"], ids], ["doc_id", "ids"])
 
@@ -292,7 +325,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         vocab = vocabulary(path)
-        for batch in batches:
+        for batch in gathered(batches, CHUNK_CHARS):
             counts, of_ids, of_text = [], [], []
             for ids in vocab.encode_batch(batch["text"].to_pylist()):
                 counts.append(len(ids) // 4)

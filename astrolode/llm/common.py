@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +36,20 @@ def key_type(df: DataFrame, name: str = "doc_id") -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def gathered(batches: Iterable[pa.RecordBatch], chars: int, column: str = "text"
+             ) -> Iterator[pa.RecordBatch]:
+    """Arrow batches put together until their texts reach about so many bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch[column].nbytes
+        if size >= chars:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size or any(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table in the shared folder: it survives lost executors and is computed once."""
     path = shared_dir(df.sparkSession, purpose)

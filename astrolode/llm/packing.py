@@ -23,8 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from astrolode.llm.bpe import vocabulary
-from astrolode.llm.common import key_type, numbered, texts, with_row, written
+from astrolode.llm.bpe import CHUNK_CHARS, vocabulary
+from astrolode.llm.common import gathered, key_type, numbered, texts, with_row, written
 
 PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
 CAPACITY = 4096
@@ -177,7 +177,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) ->
 
     def run(batches):
         vocab = vocabulary(path)
-        for batch in batches:
+        for batch in gathered(batches, CHUNK_CHARS):
             rows, numbers, starts, lengths, sums = [], [], [], [], []
             for row, ids in enumerate(vocab.encode_batch(batch["text"].to_pylist())):
                 ids += close
