@@ -11,13 +11,13 @@ from astrolode.spec import BATCH_TIME, BATCH_TIME_FORMAT, INGESTED_AT, SOURCE_FI
 FILE_PATH = "_metadata.file_path"
 
 
+def stamp_ingest_time(df: DataFrame) -> DataFrame:
+    return df.withColumn(INGESTED_AT, F.current_timestamp())
+
+
 def stamp_source(df: DataFrame) -> DataFrame:
     """Add source file and ingestion time; `df` must be a file scan (batch or stream)."""
-    return df.select(
-        "*",
-        F.col(FILE_PATH).alias(SOURCE_FILE),
-        F.current_timestamp().alias(INGESTED_AT),
-    )
+    return stamp_ingest_time(df.select("*", F.col(FILE_PATH).alias(SOURCE_FILE)))
 
 
 def stamp_batch_time(df: DataFrame) -> DataFrame:

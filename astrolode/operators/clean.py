@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from astrolode.functions.predicates import (
     all_not_blank,
@@ -14,36 +15,23 @@ from astrolode.functions.predicates import (
     quoted,
 )
 from astrolode.functions.scalars import or_unknown, safe_cast, trimmed
-from astrolode.operators.dedupe import keep_one
-from astrolode.spec import CORRUPT_RECORD, PROVENANCE, TableSpec
+from astrolode.operators.dedupe import keep_one, newest_first
+from astrolode.spec import APPEND, AUDIT, CORRUPT_RECORD, UNDECLARED, TableSpec
 
-PROBE_ROWS = 1000
-
-
-def drop_blank_rows(df: DataFrame, ignore: Iterable[str] = PROVENANCE) -> DataFrame:
+def drop_blank_rows(df: DataFrame, ignore: Iterable[str] = AUDIT) -> DataFrame:
     """Drop rows without content in any column but the `ignore` ones."""
     ignored = set(ignore)
     business = [c for c in df.columns if c not in ignored]
     return df.filter(any_not_blank(df, business)) if business else df
 
 
-def _columns_with_content(df: DataFrame, names: list[str]) -> set[str]:
-    found = df.selectExpr(*(f"bool_or({not_blank_sql(df, n)})" for n in names)).first()
-    return {name for name, has in zip(names, found) if has}
-
-
 def empty_columns(df: DataFrame) -> list[str]:
-    """Columns without content in any row.
-
-    Content seen in a few rows already proves a column non-empty. Only the columns left
-    open by that look are read in full, so the usual table costs no full scan.
-    """
+    """Columns without content in any row: one aggregate, a single row per task."""
     names = df.columns
-    proven = _columns_with_content(df.limit(PROBE_ROWS), names)
-    open_names = [n for n in names if n not in proven]
-    if open_names:
-        proven |= _columns_with_content(df.select(*map(quoted, open_names)), open_names)
-    return [n for n in names if n not in proven]
+    if not names:
+        return []
+    found = df.selectExpr(*(f"bool_or({not_blank_sql(df, n)})" for n in names)).first()
+    return [name for name, has in zip(names, found) if not has]
 
 
 def drop_empty_columns(df: DataFrame, protect: Iterable[str] = ()) -> DataFrame:
@@ -62,26 +50,72 @@ def _check_columns(df: DataFrame, spec: TableSpec) -> None:
         raise ValueError(f"{spec.name}: cannot clean without columns {missing}")
 
 
+def _renamed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    df = df.withColumnsRenamed(dict(spec.renames))
+    _check_columns(df, spec)
+    return df
+
+
+def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    changed = {name: safe_cast(df, name, to, spec.date_format) for name, to in spec.types.items()}
+    changed |= {name: trimmed(name) for name in spec.trims}
+    changed |= {name: or_unknown(df, name) for name in spec.fill_unknown}
+    return df.withColumns(changed)
+
+
+def _key_usable(df: DataFrame, spec: TableSpec) -> Column:
+    return all_not_blank(df, spec.key_filter) if spec.reject_blank_keys else all_present(spec.key_filter)
+
+
 def standardize(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The row-wise part of cleaning: no shuffle, fit for batch and stream alike.
 
     Renames, drops blank rows and known unwanted columns, casts, trims, fills, and
     removes rows without a usable key.
     """
-    df = df.withColumnsRenamed(dict(spec.renames)).drop(CORRUPT_RECORD)
-    _check_columns(df, spec)
-    df = drop_blank_rows(df, spec.provenance).drop(*spec.drops)
-    changed = {name: safe_cast(df, name, to, spec.date_format) for name, to in spec.types.items()}
-    changed |= {name: trimmed(name) for name in spec.trims}
-    changed |= {name: or_unknown(df, name) for name in spec.fill_unknown}
-    df = df.withColumns(changed)
-    if spec.reject_blank_keys:
-        return df.filter(all_not_blank(df, spec.key_filter))
-    return df.filter(all_present(spec.key_filter))
+    df = _renamed(df.drop(CORRUPT_RECORD, UNDECLARED, APPEND), spec)
+    df = _typed(drop_blank_rows(df, spec.provenance).drop(*spec.drops), spec)
+    return df.filter(_key_usable(df, spec))
 
 
 def clean(df: DataFrame, spec: TableSpec, keep: str = "first") -> DataFrame:
     """Bronze rows to silver rows: standardized, one row per business key."""
     if spec.drop_empty:
         df = drop_empty_columns(df.drop(*spec.drops), spec.protect)
-    return keep_one(standardize(df, spec), spec.keys, keep=keep)
+    rows = standardize(df, spec)
+    return keep_one(rows, spec.keys, prefer=newest_first(rows, spec.prefer), keep=keep)
+
+
+# What becomes of the rows of a table, in the order of `clean_counts`.
+OUTCOMES = ("blank", "unreadable", "bad_key", "duplicate")
+
+
+def clean_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row: how many rows cleaning gets, why it leaves rows out, and how many it keeps.
+
+    A row without content is `blank`, one whose key cannot be used `bad_key`; either is
+    `unreadable` instead if its line did not parse. Rows beyond one per key are `duplicate`.
+    The parts add up: rows_before = blank + unreadable + bad_key + duplicate + rows_after.
+    Counting starts before the shuffle, so a hot key costs one row per task.
+    """
+    df = _renamed(df, spec)
+    ignored = {*spec.provenance, *AUDIT}
+    content = any_not_blank(df, [c for c in df.columns if c not in ignored])
+    broken = F.col(CORRUPT_RECORD).isNotNull() if CORRUPT_RECORD in df.columns else F.lit(False)
+    judged = _typed(df.withColumns({"_content": content, "_broken": broken}), spec)
+    lost = F.when(~F.col("_content"), F.when(F.col("_broken"), "unreadable").otherwise("blank")).when(
+        ~_key_usable(judged, spec), F.when(F.col("_broken"), "unreadable").otherwise("bad_key"))
+    keys = [F.when(lost.isNull(), F.col(quoted(k))).alias(f"_key{i}") for i, k in enumerate(spec.keys)]
+    groups = judged.select(lost.alias("_lost"), *keys)
+    groups = groups.groupBy(*groups.columns).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.expr("coalesce(sum(_n), 0)")
+    kept = F.count(F.when(F.col("_lost").isNull(), 1))
+
+    def rows(outcome: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_lost") == outcome, F.col("_n"))), F.lit(0))
+
+    usable = F.coalesce(F.sum(F.when(F.col("_lost").isNull(), F.col("_n"))), F.lit(0))
+    return groups.agg(
+        total.alias("rows_before"), *(rows(o).alias(o) for o in OUTCOMES[:-1]),
+        (usable - kept).alias("duplicate"), kept.alias("rows_after"),
+    )

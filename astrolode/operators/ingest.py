@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from astrolode.functions.provenance import FILE_PATH, stamp_source
+from astrolode.functions.provenance import FILE_PATH, stamp_ingest_time
 from astrolode.session import run_each
-from astrolode.sources.files import landing_schema, or_none, read_json_lines
-from astrolode.sources.sinks import append_parquet
-from astrolode.spec import CATALOG, SOURCE_FILE, TableSpec
+from astrolode.sources.files import landing_schema, or_none, read_landing
+from astrolode.sources.sinks import overwrite_parquet
+from astrolode.spec import APPEND, CATALOG, SOURCE_FILE, TableSpec
 
 # Outcomes of one table's ingest.
 NO_FILES = "no files"
@@ -48,18 +48,25 @@ def _listing_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def ledger_path(bronze: str) -> str:
+    """The ledger of a bronze table, in a folder readers of the table pass over."""
+    return f"{bronze.rstrip('/')}/_ledger"
+
+
 def new_files(spark: SparkSession, landing: str, bronze: str) -> DataFrame | None:
-    """Names of landed files that bronze lacks; None if nothing has landed at all.
+    """Landed files not yet taken in, and the next append's number; None if nothing has landed.
 
-    Only names are read, not contents. Bronze itself is the ledger, so a file counts as
-    taken in exactly when its rows are there.
+    Only names are read: those in the landing zone and those in the ledger, which holds one
+    short row per file; bronze itself is not.
     """
     session = _listing_session(spark)
     landed = or_none(lambda: session.read.format("binaryFile").load(landing))
     if landed is None:
         return None
     names = landed.select(F.col(FILE_PATH).alias(SOURCE_FILE))
-    return unseen_rows(names, or_none(lambda: session.read.parquet(bronze)))
+    ledger = or_none(lambda: session.read.parquet(ledger_path(bronze)))
+    number = F.lit(0) if ledger is None else ledger.agg(F.max(APPEND) + 1).scalar()
+    return unseen_rows(names, ledger).withColumn("number", number.cast("int"))
 
 
 def _literal_path(uri: str) -> str:
@@ -67,9 +74,17 @@ def _literal_path(uri: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
 
-def _next_files(fresh: DataFrame, after: str, limit: int) -> list[str]:
-    names = fresh.filter(F.col(SOURCE_FILE) > after).orderBy(SOURCE_FILE).limit(limit)
-    return [row[0] for row in names.collect()]
+def _append(spark: SparkSession, rows: DataFrame, bronze: str, number: int, names: list[str]) -> int:
+    """Write one append and then enter its files in the ledger.
+
+    An append owns the folder of its number and overwrites it. One that was cut off is not in the
+    ledger, so the next run has the same number and puts its rows in place of what was left.
+    """
+    folder = f"{APPEND}={number}"
+    count = overwrite_parquet(rows, f"{bronze.rstrip('/')}/{folder}")
+    entered = spark.createDataFrame([(n, count) for n in names], f"{SOURCE_FILE} STRING, rows BIGINT")
+    entered.coalesce(1).write.mode("overwrite").parquet(f"{ledger_path(bronze)}/{folder}")
+    return count
 
 
 def ingest_table(spark: SparkSession, spec: TableSpec, landing: str, bronze: str,
@@ -78,23 +93,21 @@ def ingest_table(spark: SparkSession, spec: TableSpec, landing: str, bronze: str
     """Append the rows of new landing files to bronze, with their provenance.
 
     `landing` is the folder of the landing zone, `bronze` the path of this table. Files
-    already taken in are never opened. The driver holds at most `max_files` names at once;
-    more files make more appends, never fewer rows. The ledger is read again before each
-    append, so a run that was cut off goes on where the last append ended, and walking the
-    names in order also gets past files without rows.
+    already taken in are never opened, and bronze itself is not read. Every field is kept,
+    those nobody declared in `_undeclared`. The driver holds at most `max_files` names at once;
+    more files make more appends, never fewer rows. Two runs of one table must not overlap.
     """
     pattern = f"{landing.rstrip('/')}/{spec.pattern}"
     schema = schema or landing_schema(spec.landing_ddl)
-    total, last = 0, ""
+    total = 0
     while (fresh := new_files(spark, pattern, bronze)) is not None:
-        names = _next_files(fresh, last, max_files)
-        if names:
-            rows = read_json_lines(spark, [_literal_path(n) for n in names], schema)
-            if not rows.isEmpty():
-                total += append_parquet(stamp_source(rows), bronze)
-        if len(names) < max_files:
+        found = fresh.orderBy(SOURCE_FILE).limit(max_files).collect()
+        if found:
+            names = [row[SOURCE_FILE] for row in found]
+            rows = stamp_ingest_time(read_landing(spark, [_literal_path(n) for n in names], schema))
+            total += _append(spark, rows, bronze, found[0]["number"], names)
+        if len(found) < max_files:
             return IngestResult(spec.name, INGESTED if total else NOTHING_NEW, total)
-        last = names[-1]
     return IngestResult(spec.name, NO_FILES, 0)
 
 

@@ -19,17 +19,22 @@ from astrolode.functions.predicates import (
     not_blank_sql,
     quoted,
 )
-from astrolode.spec import CATALOG, PROVENANCE, TableSpec
+from astrolode.spec import AUDIT, CATALOG, CORRUPT_RECORD, UNDECLARED, TableSpec
 
 ROWS = "rows"
 BLANK = "blank_values"
 MISSING = "missing_required"
 REQUIRED_BLANK = "required_blank"
 FULLY_BLANK = "fully_blank_rows"
+UNREADABLE = "unreadable_rows"
+UNDECLARED_FIELDS = "rows_with_undeclared_fields"
 DUPLICATE_GROUPS = "duplicate_groups"
 DUPLICATE_ROWS = "duplicate_rows"
 
 
+_NOTED = {CORRUPT_RECORD: UNREADABLE, UNDECLARED: UNDECLARED_FIELDS}
+
+
 class QualityError(RuntimeError):
     """Raised by `enforce` when a gate fails."""
 
@@ -56,22 +61,27 @@ def _count(condition: str) -> str:
 
 
 def column_checks(df: DataFrame, table: str, required: Sequence[str] = (),
-                  ignore: Iterable[str] = PROVENANCE) -> DataFrame:
+                  ignore: Iterable[str] = AUDIT) -> DataFrame:
     """Row count, blanks per column, required columns, fully blank rows: one aggregate.
 
-    A `blank_values` check is flagged when the column is blank in every row. The aggregate
-    is a single row per map task, so no data but counts is shuffled.
+    A `blank_values` check is flagged when the column is blank in every row. Where ingest has
+    noted lines that did not parse, or fields nobody declared, their rows are counted and
+    flagged; a line that did not parse at all is also a fully blank row. The aggregate is a
+    single row per map task, so no data but counts is shuffled.
     """
-    names = df.columns
+    noted = {c: check for c, check in _NOTED.items() if c in df.columns}
+    names = [n for n in df.columns if n not in noted]
     ignored = set(ignore)
     business = [n for n in names if n not in ignored]
     counts = df.selectExpr(
         "count(1) AS rows",
         f"{_count(all_blank_sql(df, business))} AS fully_blank",
+        *(f"count({quoted(c)}) AS {check}" for c, check in noted.items()),
         *(f"{_count('NOT ' + not_blank_sql(df, n))} AS blank_{i}" for i, n in enumerate(names)),
     )
     blanks = {n: f"blank_{i}" for i, n in enumerate(names)}
     checks = [_check(ROWS, None, "rows", "false"), _check(FULLY_BLANK, None, "fully_blank")]
+    checks += [_check(check, None, check) for check in noted.values()]
     checks += [_check(BLANK, n, blank, f"{blank} = rows") for n, blank in blanks.items()]
     checks += [_check(REQUIRED_BLANK, n, blanks[n]) for n in required if n in blanks]
     checks += [_check(MISSING, n, "0" if n in blanks else "1") for n in required]

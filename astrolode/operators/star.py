@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 from astrolode.functions.predicates import quoted
 from astrolode.functions.provenance import built_at, source_system
 from astrolode.functions.scalars import calendar_attributes, date_key, line_amount
-from astrolode.operators.skew import hot_values, join_unique
 
 # Columns of the gold tables, with the new name where a column is renamed.
-_PLACE = ("Address", "City", "Region", "PostalCode", "Country")
-_CONTACT = ("ContactName", "ContactTitle", *_PLACE, "Phone", "Fax")
-CUSTOMER_COLUMNS = ("CustomerID", "CompanyName", *_CONTACT)
+CUSTOMER_COLUMNS = (
+    "CustomerID", "CompanyName", "ContactName", "ContactTitle", "Address", "City", "Region",
+    "PostalCode", "Country", "Phone", "Fax",
+)
 EMPLOYEE_COLUMNS = (
-    "EmployeeID", "Title", "TitleOfCourtesy", "BirthDate", "HireDate", *_PLACE,
-    "HomePhone", "Extension", "ReportsTo",
+    "EmployeeID", "Title", "TitleOfCourtesy", "BirthDate", "HireDate", "Address", "City", "Region",
+    "PostalCode", "Country", "HomePhone", "Extension", "ReportsTo",
+)
+SUPPLIER_COLUMNS = (
+    "SupplierID", "CompanyName", "ContactName", "ContactTitle", "Address", "City", "Region",
+    "PostalCode", "Country", "Phone", "Fax", "HomePage",
 )
-SUPPLIER_COLUMNS = ("SupplierID", "CompanyName", *_CONTACT, "HomePage")
 SUPPLIER_NAMES = {"CompanyName": "SupplierName"}
 SHIPPER_COLUMNS = ("ShipperID", "CompanyName", "Phone")
 SHIPPER_NAMES = {"CompanyName": "ShipperName"}
@@ -61,18 +64,12 @@ def dim_employees(employees: DataFrame, source: str) -> DataFrame:
     return project(employees, EMPLOYEE_COLUMNS, source=source)
 
 
-def _hot(df: DataFrame, columns: Sequence[str], share: float | None) -> dict[str, list]:
-    return hot_values(df, columns, share) if share else {}
-
-
-def dim_products(products: DataFrame, categories: DataFrame, source: str,
-                 hot_share: float | None = None) -> DataFrame:
-    """Products with their category, if there is one; for `hot_share` see `fact_orders`."""
+def dim_products(products: DataFrame, categories: DataFrame, source: str) -> DataFrame:
+    """Products with their category, if there is one."""
     category = categories.select(
         "CategoryID", "CategoryName", F.col("Description").alias("CategoryDescription")
     )
-    hot = _hot(products, ["CategoryID"], hot_share)
-    return join_unique(products, category, "CategoryID", "left", hot).select(
+    return products.join(category, "CategoryID", "left").select(
         "ProductID", "ProductName", "SupplierID", "CategoryID", "CategoryName",
         "CategoryDescription", "QuantityPerUnit", F.col("UnitPrice").alias("ProductListPrice"),
         "UnitsInStock", "UnitsOnOrder", "ReorderLevel", "Discontinued", source_system(source),
@@ -99,15 +96,15 @@ def _amount(decimal: bool) -> Column:
 
 
 def fact_orders(order_details: DataFrame, orders: DataFrame, products: DataFrame,
-                decimal: bool = False, hot_share: float | None = None) -> DataFrame:
+                decimal: bool = False) -> DataFrame:
     """One row per order line; orders and products must have unique keys.
 
     `Freight` belongs to the order and repeats on each of its lines: do not add it up.
     The amount is a double; `decimal=True` computes it exactly.
 
-    `hot_share` (such as 0.01) first looks, in one pass over the two key columns of the
-    lines, for keys with at least that share of the rows, and joins those without a shuffle.
-    Give it when the lines are a written table; on a computed frame that pass computes it.
+    The lines are read once. A reference below Spark's size threshold is broadcast; otherwise
+    both sides are sorted and merged, and run-time skew handling splits the partition of a hot
+    key over several tasks, which it can as the joins are left and inner.
     """
     lines = order_details.select("OrderID", "ProductID", "UnitPrice", "Quantity", "Discount")
     # The date key is worked out once per order, not once per line.
@@ -117,10 +114,7 @@ def fact_orders(order_details: DataFrame, orders: DataFrame, products: DataFrame
         "Freight", "OrderDate", "RequiredDate", "ShippedDate",
     )
     goods = products.select("ProductID", "SupplierID")
-    hot = _hot(lines, ["OrderID", "ProductID"], hot_share)
-    # Products first: should both keys have hot values, the smaller join is the one repeated.
-    with_supplier = join_unique(lines, goods, "ProductID", "left", hot)
-    return join_unique(with_supplier, heads, "OrderID", "inner", hot).select(
+    return lines.join(goods, "ProductID", "left").join(heads, "OrderID").select(
         "OrderID", "ProductID", "SupplierID", "CustomerID", "EmployeeID", "ShipperID", "date_key",
         "UnitPrice", "Quantity", "Discount", _amount(decimal).alias("TotalAmount"),
         "Freight", "OrderDate", "RequiredDate", "ShippedDate", built_at(),

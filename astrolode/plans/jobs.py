@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astrolode.functions.provenance import stamp_batch_time
+from astrolode.operators import clean as clean_ops
 from astrolode.operators import quality, star
 from astrolode.operators.clean import clean
 from astrolode.operators.ingest import IngestResult, ingest_all
-from astrolode.operators.skew import HOT_SHARE
 from astrolode.plans.lake import BRONZE, GOLD, SILVER, Lake
 from astrolode.session import run_each
 from astrolode.sources.files import or_none
@@ -67,6 +68,17 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, specs: Mapping[str, TableS
     return run_each(spark, work, specs.values(), parallel)
 
 
+def clean_counts(spark: SparkSession, lake: Lake,
+                 specs: Mapping[str, TableSpec] = CATALOG) -> DataFrame:
+    """Per table, what cleaning leaves out and why: one aggregate over bronze, as one job."""
+    parts = (
+        clean_ops.clean_counts(lake.read(spark, BRONZE, name), spec)
+        .select(F.lit(name).alias("table_name"), "*")
+        for name, spec in specs.items()
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def silver_gate(spark: SparkSession, lake: Lake, specs: Mapping[str, TableSpec] = CATALOG,
                 strict: bool = False) -> DataFrame:
     """Gate rows for all silver tables; `strict` raises if any needs review."""
@@ -76,28 +88,25 @@ def silver_gate(spark: SparkSession, lake: Lake, specs: Mapping[str, TableSpec]
     return gate
 
 
-def gold_frames(silver: Mapping[str, DataFrame], source: str,
-                hot_share: float | None = None) -> dict[str, DataFrame]:
+def gold_frames(silver: Mapping[str, DataFrame], source: str) -> dict[str, DataFrame]:
     """The seven gold tables over the eight silver ones, not yet computed."""
     return {
         "dim_dates": star.dim_dates(silver["orders"]),
         "dim_customers": star.dim_customers(silver["customers"]),
         "dim_employees": star.dim_employees(silver["employees"], source),
-        "dim_products": star.dim_products(
-            silver["products"], silver["categories"], source, hot_share
-        ),
+        "dim_products": star.dim_products(silver["products"], silver["categories"], source),
         "dim_suppliers": star.dim_suppliers(silver["suppliers"], source),
         "dim_shippers": star.dim_shippers(silver["shippers"]),
         "fact_orders": star.fact_orders(
-            silver["order_details"], silver["orders"], silver["products"], hot_share=hot_share
+            silver["order_details"], silver["orders"], silver["products"]
         ),
     }
 
 
 def silver_to_gold(spark: SparkSession, lake: Lake, source: str, partition_fact_by_year: bool = False,
-                   hot_share: float | None = HOT_SHARE, parallel: int = 1) -> dict[str, int]:
+                   parallel: int = 1) -> dict[str, int]:
     """Build and overwrite gold; returns the rows written per table."""
-    frames = gold_frames(lake.read_layer(spark, SILVER, CATALOG), source, hot_share)
+    frames = gold_frames(lake.read_layer(spark, SILVER, CATALOG), source)
 
     def work(table: str) -> int:
         df, partition_by = frames[table], ()

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from astrolode.spec import APPEND
+
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
@@ -25,7 +27,7 @@ class Lake:
         return f"{self.base.rstrip('/')}/{layer}/{name}"
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(layer, table))
+        return spark.read.parquet(self.path(layer, table)).drop(APPEND)
 
     def read_layer(self, spark: SparkSession, layer: str, tables) -> dict[str, DataFrame]:
         return {table: self.read(spark, layer, table) for table in tables}

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from astrolode.spec import BATCH_TIME, CORRUPT_RECORD
+from astrolode.functions.provenance import FILE_PATH
+from astrolode.spec import BATCH_TIME, CORRUPT_RECORD, SOURCE_FILE, UNDECLARED
 
 # Conditions that mean "nothing there yet"; any other analysis error is a real one.
 ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -49,11 +52,34 @@ def read_json_lines(spark: SparkSession, path: str | list[str],
     return reader.json(path)
 
 
-def discover_schema(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
-    """The declared schema plus any undeclared fields found in the files, as inferred."""
-    found = read_json_lines(spark, path).schema
-    extra = [f for f in found.fields if f.name not in declared.names]
-    return T.StructType([*declared.fields, *extra])
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines of JSON text as declared columns, plus the fields nobody declared.
+
+    `_undeclared` maps the names of such fields to their values as text; it is NULL where there
+    are none. A line that does not fit is kept as text in `_corrupt_record`.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD}
+    declared = F.array(*(F.lit(f.name) for f in schema.fields))
+    more = F.map_filter(
+        F.from_json("value", "map<string,string>", options), lambda k, _: ~F.array_contains(declared, k))
+    rows = lines.filter(F.trim("value") != "").select(
+        F.from_json("value", schema, options).alias("_row"),
+        F.when(F.size(more) > 0, more).alias(UNDECLARED), *(c for c in lines.columns if c != "value"),
+    )
+    rest = [c for c in rows.columns if c not in ("_row", UNDECLARED)]
+    return rows.select("_row.*", UNDECLARED, *rest)
+
+
+def read_landing(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """Landed JSON lines with every field kept, and the file each row came from."""
+    lines = spark.read.text(path).select("value", F.col(FILE_PATH).alias(SOURCE_FILE))
+    return _parsed(lines, schema)
+
+
+def stream_landing(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """`read_landing` as a stream; `options` go to the file source."""
+    lines = spark.readStream.options(**options).text(path)
+    return _parsed(lines.select("value", F.col(FILE_PATH).alias(SOURCE_FILE)), schema)
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
@@ -72,10 +98,6 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df.toDF(*(c.strip() for c in df.columns))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 @dataclass(frozen=True)
 class ReadResult:
     """Outcome of reading one table: a frame, or why there is none."""
@@ -86,12 +108,17 @@ class ReadResult:
 
 
 def read_all(readers: Mapping[str, Callable[[], DataFrame]]) -> dict[str, ReadResult]:
-    """Read every table; one that fails is reported and the others go on."""
+    """Read every table; one that cannot be planned is reported and the others go on.
+
+    That covers absent sources and files whose header cannot be read. A file that turns out
+    broken only while its rows are read fails the action that reads it.
+    """
     results = {}
     for table, read in readers.items():
         try:
             results[table] = ReadResult(table, read())
-        except AnalysisException as error:
-            results[table] = ReadResult(table, None, error.getCondition() or str(error))
+        except (PySparkException, Py4JError) as error:
+            condition = error.getCondition() if isinstance(error, PySparkException) else None
+            results[table] = ReadResult(table, None, condition or str(error).splitlines()[0])
     return results
 

@@ -18,6 +18,11 @@ INGESTED_AT = "bronze_ingestion_time"
 BATCH_TIME = "ingestion_time"
 PROVENANCE = (BATCH_TIME, SOURCE_FILE, INGESTED_AT)
 CORRUPT_RECORD = "_corrupt_record"
+UNDECLARED = "_undeclared"
+# The folder column of bronze: one folder per append.
+APPEND = "append_number"
+# What ingest adds to a row; none of it is content of the source.
+AUDIT = (*PROVENANCE, CORRUPT_RECORD, UNDECLARED, APPEND)
 
 
 @dataclass(frozen=True)
@@ -25,7 +30,9 @@ class TableSpec:
     """Declarative description of one source table.
 
     `landing_ddl` is the schema of the landing files, `types` the silver casts,
-    `keys` the business key, `not_null` the columns a silver row must carry.
+    `keys` the business key, `not_null` the columns a silver row must carry. Of rows with the
+    same key the one with the largest `prefer` columns (as far as it has them) stays: by default
+    the one taken in last.
     """
 
     name: str
@@ -43,7 +50,8 @@ class TableSpec:
     required_bronze: tuple[str, ...] = ()
     required_silver: tuple[str, ...] = ()
     date_format: str = DATE_OPTIONAL_TIME_FORMAT
-    provenance: tuple[str, ...] = PROVENANCE
+    prefer: tuple[str, ...] = (INGESTED_AT, SOURCE_FILE)
+    provenance: tuple[str, ...] = AUDIT
 
     @property
     def pattern(self) -> str:
@@ -77,9 +85,9 @@ CATALOG: dict[str, TableSpec] = {
             ),
             keys=("OrderID",),
             types={
-                "OrderID": "int",
-                "EmployeeID": "int",
-                "ShipVia": "int",
+                "OrderID": "bigint",
+                "EmployeeID": "bigint",
+                "ShipVia": "bigint",
                 "Freight": "double",
                 "OrderDate": "timestamp",
                 "RequiredDate": "timestamp",
@@ -102,8 +110,8 @@ CATALOG: dict[str, TableSpec] = {
             ),
             keys=("OrderID", "ProductID"),
             types={
-                "OrderID": "int",
-                "ProductID": "int",
+                "OrderID": "bigint",
+                "ProductID": "bigint",
                 "UnitPrice": "double",
                 "Quantity": "int",
                 "Discount": "double",
@@ -131,8 +139,8 @@ CATALOG: dict[str, TableSpec] = {
             ),
             keys=("EmployeeID",),
             types={
-                "EmployeeID": "int",
-                "ReportsTo": "int",
+                "EmployeeID": "bigint",
+                "ReportsTo": "bigint",
                 "BirthDate": "timestamp",
                 "HireDate": "timestamp",
             },
@@ -149,9 +157,9 @@ CATALOG: dict[str, TableSpec] = {
             ),
             keys=("ProductID",),
             types={
-                "ProductID": "int",
-                "SupplierID": "int",
-                "CategoryID": "int",
+                "ProductID": "bigint",
+                "SupplierID": "bigint",
+                "CategoryID": "bigint",
                 "UnitPrice": "double",
                 "UnitsInStock": "int",
                 "UnitsOnOrder": "int",
@@ -166,7 +174,7 @@ CATALOG: dict[str, TableSpec] = {
                 "CategoryID BIGINT, CategoryName STRING, Description STRING, Picture STRING"
             ),
             keys=("CategoryID",),
-            types={"CategoryID": "int"},
+            types={"CategoryID": "bigint"},
             trims=("CategoryName",),
             drops=("Picture",),
             drop_empty=True,
@@ -178,7 +186,7 @@ CATALOG: dict[str, TableSpec] = {
             name="suppliers",
             landing_ddl=f"SupplierID BIGINT, CompanyName STRING, {_CONTACT}, HomePage STRING",
             keys=("SupplierID",),
-            types={"SupplierID": "int"},
+            types={"SupplierID": "bigint"},
             trims=("CompanyName",),
             fill_unknown=("Region",),
             required_bronze=("SupplierID", "CompanyName"),
@@ -188,7 +196,7 @@ CATALOG: dict[str, TableSpec] = {
             name="shippers",
             landing_ddl="ShipperID BIGINT, CompanyName STRING, Phone STRING",
             keys=("ShipperID",),
-            types={"ShipperID": "int"},
+            types={"ShipperID": "bigint"},
             trims=("CompanyName",),
             required_bronze=("ShipperID", "CompanyName"),
             required_silver=("ShipperID", "CompanyName"),

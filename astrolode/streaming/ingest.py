@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from astrolode.functions.provenance import stamp_source
-from astrolode.sources.files import landing_schema
-from astrolode.spec import CORRUPT_RECORD, TableSpec
+from astrolode.functions.provenance import stamp_ingest_time
+from astrolode.sources.files import landing_schema, stream_landing
+from astrolode.spec import TableSpec
 
 ANY_AGE = "36500d"
 
@@ -22,15 +22,12 @@ def landing_stream(spark: SparkSession, spec: TableSpec, landing: str,
     A file counts however old it is. A shorter `max_file_age` (from the newest file) lets
     the source forget old names, at the price of passing over files that land that late.
     """
-    reader = (
-        spark.readStream.schema(schema or landing_schema(spec.landing_ddl))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .option("maxFileAge", max_file_age)
-    )
+    options = {"maxFileAge": max_file_age}
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return stamp_source(reader.json(f"{landing.rstrip('/')}/{spec.pattern}"))
+        options["maxFilesPerTrigger"] = max_files_per_trigger
+    path = f"{landing.rstrip('/')}/{spec.pattern}"
+    declared = schema or landing_schema(spec.landing_ddl)
+    return stamp_ingest_time(stream_landing(spark, path, declared, **options))
 
 
 def ingest_stream(spark: SparkSession, spec: TableSpec, landing: str, bronze: str, checkpoint: str,

@@ -30,26 +30,36 @@ def _with_copies(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(f"inline(array_repeat({_struct(columns)}, IF({key} % 10 = 0, 2, 1)))")
 
 
+def _wide(key: str) -> str:
+    """Some order keys lie beyond 32 bits."""
+    return f"IF({key} % 43 = 0, {key} + 3000000000, {key})"
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders, some twice, and for some orders one more row without any content."""
+    """Orders, some in two versions, and for some orders one more row without any content."""
+    shipped = f"date_format(o_orderdate + INTERVAL 5 DAYS, {DATE_TIME})"
     content = {
-        "OrderID": "string(o_orderkey)",
+        "OrderID": f"string({_wide('o_orderkey')})",
         "Customer key": "CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 13 = 0 THEN NULL "
                         "ELSE concat('  ', o_custkey, ' ') END",
         "EmployeeID": "IF(o_orderkey % 23 = 0, 'none', string(o_custkey % 9 + 1))",
         "OrderDate": "IF(o_orderkey % 17 = 0, date_format(o_orderdate, 'M/d/yyyy'), "
                      f"date_format(o_orderdate, {DATE_TIME}))",
         "RequiredDate": f"date_format(o_orderdate + INTERVAL 28 DAYS, {DATE_TIME})",
-        "ShippedDate": "IF(o_orderkey % 7 = 0, '', "
-                       f"date_format(o_orderdate + INTERVAL 5 DAYS, {DATE_TIME}))",
+        "ShippedDate": f"IF(o_orderkey % 7 = 0, '', {shipped})",
         "ShipVia": "string(o_orderkey % 3 + 1)",
         "Freight": "string(o_totalprice)",
         "Region": "IF(o_orderkey % 7 = 0, ' ', o_orderpriority)",
     }
     source = {"source_file": "concat('batch_', o_orderkey % 5)"}
     blank = dict.fromkeys(content, "CAST(NULL AS STRING)")
+    # An order that comes twice was first sent before it was shipped.
+    early = content | source | {
+        "ShippedDate": f"IF(o_orderkey % 7 = 0 OR o_orderkey % 10 = 0, '', {shipped})"}
+    again = content | {"source_file": "'batch_9'"}
     rows = (
-        f"array_repeat({_struct(content | source)}, IF(o_orderkey % 10 = 0, 2, 1))",
+        f"array({_struct(early)})",
+        f"array_repeat({_struct(again)}, IF(o_orderkey % 10 = 0, 1, 0))",
         f"array_repeat({_struct(blank | source)}, IF(o_orderkey % 97 = 0, 1, 0))",
     )
     return load(spark, sf_dir, "orders").selectExpr(f"inline(concat({', '.join(rows)}))")
@@ -57,7 +67,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(load(spark, sf_dir, "lineitem"), {
-        "OrderID": "string(l_orderkey)",
+        "OrderID": f"string({_wide('l_orderkey')})",
         "ProductID": "IF(l_orderkey % 19 = 0, '', string(l_partkey))",
         "LineNumber": "l_linenumber",
         "UnitPrice": "string(l_extendedprice)",

@@ -9,17 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astrolode.functions.provenance import built_at, source_system
-from astrolode.functions.scalars import line_amount
 from astrolode.operators import quality, star
 from astrolode.operators.clean import clean, drop_empty_columns
 from astrolode.operators.ingest import ingest_table, unseen_rows
-from astrolode.operators.skew import HOT_SHARE
 from astrolode.plans import jobs
 from astrolode.plans.lake import BRONZE, GOLD, SILVER, Lake
 from astrolode.session import apply_defaults, run_each, shared_dir
 from astrolode.sources import files, sinks
-from astrolode.spec import CATALOG, DATE_TIME_FORMAT, PROVENANCE, SOURCE_FILE, TableSpec
-from astrolode.streaming.clean import clean_stream, clean_stream_within, read_silver
+from astrolode.spec import (
+    CATALOG,
+    CORRUPT_RECORD,
+    DATE_TIME_FORMAT,
+    PROVENANCE,
+    SOURCE_FILE,
+    UNDECLARED,
+    TableSpec,
+)
+from astrolode.streaming.clean import (
+    clean_stream,
+    clean_stream_within,
+    read_late,
+    read_silver,
+    read_within,
+)
 from astrolode.streaming.ingest import ingest_stream
 from queries import raw, sql
 
@@ -105,29 +117,19 @@ def _goods(spark: SparkSession, sf_dir: str) -> DataFrame:
     LEFT JOIN part ON l_partkey = p_partkey + 100
 """)
 def fact_orders(spark, sf_dir):
-    fact = star.fact_orders(
-        _lines(spark, sf_dir), _heads(spark, sf_dir), _goods(spark, sf_dir), hot_share=HOT_SHARE
-    )
+    fact = star.fact_orders(_lines(spark, sf_dir), _heads(spark, sf_dir), _goods(spark, sf_dir))
     return fact.drop("gold_created_at")
 
 
 @query("""
-    SELECT l_orderkey AS "OrderID", l_linenumber AS line,
+    SELECT l_orderkey AS "OrderID", l_partkey AS "ProductID", l_quantity AS "Quantity",
       cast(cast(l_extendedprice AS DECIMAL(18,4)) * cast(l_quantity AS DECIMAL(10,0))
         * (1 - cast(l_discount AS DECIMAL(6,4))) AS DECIMAL(18,4)) AS "TotalAmount"
-    FROM lineitem
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """)
 def fact_amount_decimal(spark, sf_dir):
-    lines = raw.load(spark, sf_dir, "lineitem")
-    amount = line_amount(
-        F.col("l_extendedprice").cast("decimal(18,4)"),
-        F.col("l_quantity").cast("decimal(10,0)"),
-        F.col("l_discount").cast("decimal(6,4)"),
-    )
-    return lines.select(
-        F.col("l_orderkey").alias("OrderID"), F.col("l_linenumber").alias("line"),
-        amount.cast("decimal(18,4)").alias("TotalAmount"),
-    )
+    frames = (part(spark, sf_dir) for part in (_lines, _heads, _goods))
+    return star.fact_orders(*frames, decimal=True).select("OrderID", "ProductID", "Quantity", "TotalAmount")
 
 
 @query("SELECT * FROM dim_dates")
@@ -182,8 +184,9 @@ _GOLD_COUNTS = " UNION ALL ".join(
 
 @query(_GOLD_COUNTS)
 def gold_summary(spark, sf_dir):
-    tables = {t: silver(spark, sf_dir, t) for t in CATALOG}
-    return jobs.gold_summary(jobs.gold_frames(tables, raw.SOURCE))
+    """Rows per gold table, as the writes of the gold job have counted them."""
+    _, written = _gold_lake(spark, sf_dir)
+    return spark.createDataFrame(list(written.items()), "table_name STRING, rows BIGINT")
 
 
 # --- Quality ------------------------------------------------------------------------------
@@ -207,8 +210,8 @@ _COLUMNS = {
 
 
 def _checks_sql(table: str, required: list[str] | None = None) -> str:
-    wanted = list(CATALOG[table].required_bronze) if required is None else required
-    return sql.column_checks(f"raw_{table}", table, _COLUMNS[table], wanted, PROVENANCE)
+    wanted = sql.REQUIRED_BRONZE[table] if required is None else required
+    return sql.column_checks(f"raw_{table}", table, _COLUMNS[table], wanted, sql.AUDIT)
 
 
 @query(_checks_sql("orders"))
@@ -217,7 +220,7 @@ def dq_profile(spark, sf_dir):
     return quality.column_checks(df, "orders", CATALOG["orders"].required_bronze)
 
 
-_WITH_ABSENT = [*CATALOG["orders"].required_bronze, "ShipCity"]
+_WITH_ABSENT = [*sql.REQUIRED_BRONZE["orders"], "ShipCity"]
 
 
 @query(f"""
@@ -258,8 +261,8 @@ def dq_dup_composite(spark, sf_dir):
 
 
 _REPORT = "\nUNION ALL ".join(
-    f"{_checks_sql(t)}\nUNION ALL {sql.key_checks(f'raw_{t}', t, list(CATALOG[t].keys))}"
-    for t in CATALOG
+    f"{_checks_sql(t)}\nUNION ALL {sql.key_checks(f'raw_{t}', t, sql.KEYS[t])}"
+    for t in sql.TABLES
 )
 
 
@@ -269,15 +272,13 @@ def dq_bronze_report(spark, sf_dir):
 
 
 def _gate_sql(view: str, table: str, rename: str = "*") -> str:
-    spec = CATALOG[table]
-    columns = [c for c in spec.required_silver]
-    nulls = " + ".join(f"count(*) FILTER (WHERE {sql.blank(c)})" for c in columns)
+    nulls = " + ".join(f"count(*) FILTER (WHERE {sql.blank(c)})" for c in sql.REQUIRED_SILVER[table])
     source = f"(SELECT {rename} FROM {view})"
-    names = [dict(spec.renames).get(c, c) for c in _COLUMNS[table]]
+    names = ["CustomerID" if c == "Customer key" else c for c in _COLUMNS[table]]
     dropped = {"Picture", "Remarks"}
-    business = [c for c in names if c not in PROVENANCE and c not in dropped]
+    business = [c for c in names if c not in sql.AUDIT and c not in dropped]
     full = " AND ".join(sql.blank(c) for c in business)
-    dups = sql.duplicate_keys(source, list(spec.keys), ignore_blank=False)
+    dups = sql.duplicate_keys(source, sql.KEYS[table], ignore_blank=False)
     return f"""
       SELECT '{table}' AS table_name, count(*) AS "rows", {nulls} AS required_nulls,
         cast(0 AS BIGINT) AS missing_columns,
@@ -287,27 +288,27 @@ def _gate_sql(view: str, table: str, rename: str = "*") -> str:
       FROM {source}"""
 
 
+_CLEANED = "\nUNION ALL ".join(
+    _gate_sql(f"silver_{t}", t) for t in sql.TABLES if t not in ("orders", "shippers")
+)
 _DIRTY = '* RENAME ("Customer key" AS "CustomerID")'
 _GATE = f"""
     SELECT *, required_nulls + missing_columns + duplicate_keys + fully_null_rows + empty_table
         AS errors,
       CASE WHEN required_nulls + missing_columns + duplicate_keys + fully_null_rows + empty_table = 0
         THEN 'CLEAN' ELSE 'NEEDS REVIEW' END AS status
-    FROM ({_gate_sql("silver_customers", "customers")}
-      UNION ALL {_gate_sql("raw_orders", "orders", _DIRTY)}
-      UNION ALL {_gate_sql("silver_products", "products")}
-      UNION ALL {_gate_sql("(SELECT * FROM silver_shippers WHERE false)", "shippers")})
+    FROM ({_gate_sql("raw_orders", "orders", _DIRTY)}
+      UNION ALL {_gate_sql("(SELECT * FROM silver_shippers WHERE false)", "shippers")}
+      UNION ALL {_CLEANED})
 """
 
 
 def _gate(spark, sf_dir):
-    """A clean table, one never cleaned, one with unset references, and one without rows."""
-    return quality.silver_gate({
-        "customers": silver(spark, sf_dir, "customers"),
-        "orders": raw.table(spark, sf_dir, "orders").withColumnsRenamed(CATALOG["orders"].renames),
-        "products": silver(spark, sf_dir, "products"),
-        "shippers": silver(spark, sf_dir, "shippers").filter("false"),
-    })
+    """All eight tables: one of them never cleaned, one without rows."""
+    tables = {t: silver(spark, sf_dir, t) for t in CATALOG}
+    tables["orders"] = raw.table(spark, sf_dir, "orders").withColumnsRenamed(CATALOG["orders"].renames)
+    tables["shippers"] = tables["shippers"].filter("false")
+    return quality.silver_gate(tables)
 
 
 @query(_GATE)
@@ -324,6 +325,46 @@ def dq_silver_verdict(spark, sf_dir):
     return quality.verdict(_gate(spark, sf_dir))
 
 
+def _dirty_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """All eight tables landed and taken in, with some lines of orders cut off half-way."""
+    lake, specs = _land_all(spark, sf_dir)
+    lines = raw.load(spark, sf_dir, "orders").filter(f"o_orderkey % {_BROKEN} = 0")
+    lines.select(F.substring(F.to_json(F.struct("*")), 1, 25).alias("value")).write.text(
+        f"{lake.landing}/orders_batch_broken.json")
+    jobs.landing_to_bronze(spark, lake, specs, PARALLEL)
+    return lake
+
+
+_BROKEN = 89
+_BROKEN_ROWS = f"(SELECT count(*) FROM orders WHERE o_orderkey % {_BROKEN} = 0)"
+_LANDED_CHECKS = ("rows", "fully_blank_rows", "unreadable_rows", "rows_with_undeclared_fields")
+
+
+def _landed_sql(table: str) -> str:
+    """The checks of a landed table that do not name a column."""
+    broken = _BROKEN_ROWS if table == "orders" else "0"
+    full = " AND ".join(sql.blank(c) for c in _COLUMNS[table] if c not in sql.AUDIT)
+    rows, empty = (f"(SELECT count(*) FROM raw_{table}{where}) + {broken}" for where in ("", f" WHERE {full}"))
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{check}' AS check_name, cast({value} AS BIGINT) AS value, "
+        f"{'false' if check == 'rows' else f'{value} > 0'} AS flagged"
+        for check, value in zip(_LANDED_CHECKS, (rows, empty, broken, "0"), strict=True)
+    )
+
+
+@query("\nUNION ALL ".join(map(_landed_sql, sql.TABLES)))
+def dq_bronze_landed(spark, sf_dir):
+    report = jobs.bronze_report(spark, _dirty_lake(spark, sf_dir))
+    return report.filter(F.col("check_name").isin(*_LANDED_CHECKS)).drop("column_name")
+
+
+@query("\nUNION ALL ".join(
+    sql.clean_counts(t, _COLUMNS[t], _BROKEN_ROWS if t == "orders" else "0") for t in sql.TABLES
+))
+def clean_counts(spark, sf_dir):
+    return jobs.clean_counts(spark, _dirty_lake(spark, sf_dir))
+
+
 # --- Cleaning -----------------------------------------------------------------------------
 
 
@@ -462,7 +503,7 @@ def ing_incremental_anti(spark, sf_dir):
     lake, _ = _three_runs(spark, sf_dir)
     bronze = lake.read(spark, BRONZE, "orders")
     batch = F.regexp_extract(SOURCE_FILE, r"orders_batch_(\w+)\.json", 1).alias("batch")
-    return business(bronze.select("*", batch), "_corrupt_record")
+    return business(bronze.select("*", batch), CORRUPT_RECORD, UNDECLARED)
 
 
 @query("""
@@ -515,7 +556,7 @@ def ing_stream_available_now(spark, sf_dir):
             spark, spec, lake.landing, bronze, f"{lake.base}/checkpoint", max_files_per_trigger=4
         )
         stream.awaitTermination()
-    return business(spark.read.parquet(bronze), "_corrupt_record")
+    return business(spark.read.parquet(bronze), CORRUPT_RECORD, UNDECLARED)
 
 
 @query("""
@@ -562,18 +603,40 @@ def stream_clean_dedupe(spark, sf_dir):
     folder = shared_dir(spark, "stream")
     stream = _events_stream(spark, sf_dir, folder)
     clean_stream(stream, EVENTS, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return read_silver(spark, f"{folder}/out")
+    return read_silver(spark, f"{folder}/out", EVENTS)
 
 
-@query("SELECT * FROM events")
+@query("SELECT * EXCLUDE (source_file) FROM silver_orders")
+def stream_clean_orders(spark, sf_dir):
+    """Orders in two versions, streamed file by file: the rows that batch cleaning keeps."""
+    folder, orders = shared_dir(spark, "stream"), raw.table(spark, sf_dir, "orders")
+    for late in (True, False):  # the newer version comes first
+        rows = orders.filter((F.col(SOURCE_FILE) == "batch_9") == F.lit(late))
+        rows.write.mode("append").parquet(f"{folder}/in")
+    reader = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1)
+    stream, spec = reader.parquet(f"{folder}/in"), CATALOG["orders"]
+    clean_stream(stream, spec, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return naive_times(business(read_silver(spark, f"{folder}/out", spec)))
+
+
+@query("""
+    SELECT *, false AS late FROM events
+    UNION ALL SELECT *, true FROM events WHERE event_type <> 'click'
+      AND ts < (SELECT max(ts) FROM events) - INTERVAL 2 DAY
+""")
 def stream_clean_watermark(spark, sf_dir):
-    folder = shared_dir(spark, "stream")
-    # Event time must be zoned for a watermark; the delay spans the whole feed.
-    stream = _events_stream(spark, sf_dir, folder).withColumn("ts", F.col("ts").cast("timestamp"))
-    clean_stream_within(
-        stream, EVENTS, "ts", "20000 days", f"{folder}/out", f"{folder}/checkpoint"
-    ).awaitTermination()
-    return naive_times(spark.read.parquet(f"{folder}/out"))
+    """All events, then most of them again: repeats within two days go, older ones are kept apart."""
+    folder, events = shared_dir(spark, "stream"), raw.load(spark, sf_dir, "events")
+    for part in (events, events.filter(F.col("event_type") != "click")):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+        clean_stream_within(
+            stream, EVENTS, "ts", "2 days", f"{folder}/out", f"{folder}/checkpoint"
+        ).awaitTermination()
+    kept = read_within(spark, f"{folder}/out").withColumn("late", F.lit(False))
+    late = read_late(spark, f"{folder}/out").withColumn("late", F.lit(True))
+    return naive_times(kept.unionByName(late))
 
 
 # --- Sinks and whole runs -----------------------------------------------------------------
@@ -588,6 +651,17 @@ def silver_overwrite(spark, sf_dir):
     return naive_times(business(spark.read.parquet(path)))
 
 
+def _gold_lake(spark: SparkSession, sf_dir: str) -> tuple[Lake, dict[str, int]]:
+    """Silver written from the raw tables, and gold built from it."""
+    lake = _lake(spark)
+    run_each(
+        spark,
+        lambda t: sinks.overwrite_parquet(silver(spark, sf_dir, t), lake.path(SILVER, t)),
+        CATALOG, PARALLEL,
+    )
+    return lake, jobs.silver_to_gold(spark, lake, raw.SOURCE, parallel=PARALLEL)
+
+
 def _medallion(spark: SparkSession, sf_dir: str) -> Lake:
     """Landing to gold over files, all eight tables."""
     lake, specs = _land_all(spark, sf_dir)
@@ -624,10 +698,36 @@ def gold_presence(spark, sf_dir):
     f"SELECT '{t.upper()}' AS table_name, count(*) AS \"rows\" FROM {t}" for t in sql.GOLD
 ))
 def publish_gold(spark, sf_dir):
-    lake = _medallion(spark, sf_dir)
-    target = sinks.files("parquet", f"{lake.base}/published")
+    """Gold as tables of the session's catalog, counted there."""
+    lake, _ = _gold_lake(spark, sf_dir)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_DATABASE}")
+    target = sinks.CatalogTarget(_DATABASE, f"{lake.base}/published")
     published = jobs.publish_gold(spark, lake, target, parallel=PARALLEL)
-    return quality.row_counts({t: spark.read.parquet(f"{lake.base}/published/{t}") for t in published})
+    return quality.row_counts({t: spark.table(f"{_DATABASE}.{t}") for t in published})
+
+
+_DATABASE = "published"
+
+
+@query("""
+    SELECT "OrderID", "Region", CASE WHEN source_file IN ('batch_0', 'batch_3') THEN NULL
+        ELSE 'Port ' || "ShipVia" END AS "ShipCity",
+      CASE WHEN source_file IN ('batch_0', 'batch_3') THEN 'early' ELSE 'late' END AS batch
+    FROM raw_orders
+""")
+def ing_undeclared_fields(spark, sf_dir):
+    """A second batch brings a field more, and one field was never declared at all."""
+    lake, orders = _lake(spark), raw.table(spark, sf_dir, "orders")
+    declared = orders.drop(SOURCE_FILE, "Region")
+    spec = CATALOG["orders"].with_(landing_ddl=", ".join(f"`{c}` STRING" for c in declared.columns))
+    late = orders.withColumn("ShipCity", F.concat(F.lit("Port "), "ShipVia"))
+    for name, rows in (("early", orders.filter(_EARLY)), ("late", late.filter(_LATE))):
+        jobs.land_batch(rows.drop(SOURCE_FILE), lake, "orders", name)
+        jobs.landing_to_bronze(spark, lake, {"orders": spec})
+    bronze, more = lake.read(spark, BRONZE, "orders"), F.col(UNDECLARED)
+    batch = F.regexp_extract(SOURCE_FILE, r"orders_batch_(\w+)\.json", 1).alias("batch")
+    return bronze.select(
+        "OrderID", more["Region"].alias("Region"), more["ShipCity"].alias("ShipCity"), batch)
 
 
 @query("""

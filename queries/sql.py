@@ -27,7 +27,8 @@ def _reach(k: str) -> str:
 RAW = {
     "raw_orders": """
       SELECT
-        CASE WHEN copy < 2 THEN cast(o_orderkey AS VARCHAR) END AS "OrderID",
+        CASE WHEN copy < 2 THEN cast(CASE WHEN o_orderkey % 43 = 0 THEN o_orderkey + 3000000000
+             ELSE o_orderkey END AS VARCHAR) END AS "OrderID",
         CASE WHEN copy = 2 THEN NULL WHEN o_orderkey % 11 = 0 THEN ''
              WHEN o_orderkey % 13 = 0 THEN NULL
              ELSE '  ' || o_custkey || ' ' END AS "Customer key",
@@ -39,17 +40,19 @@ RAW = {
         CASE WHEN copy < 2
              THEN strftime(o_orderdate + INTERVAL 28 DAY, '%-m/%-d/%Y %-H:%M') END AS "RequiredDate",
         CASE WHEN copy = 2 THEN NULL WHEN o_orderkey % 7 = 0 THEN ''
+             WHEN o_orderkey % 10 = 0 AND copy = 0 THEN ''
              ELSE strftime(o_orderdate + INTERVAL 5 DAY, '%-m/%-d/%Y %-H:%M') END AS "ShippedDate",
         CASE WHEN copy < 2 THEN cast(o_orderkey % 3 + 1 AS VARCHAR) END AS "ShipVia",
         CASE WHEN copy < 2 THEN cast(o_totalprice AS VARCHAR) END AS "Freight",
         CASE WHEN copy = 2 THEN NULL WHEN o_orderkey % 7 = 0 THEN ' '
              ELSE o_orderpriority END AS "Region",
-        'batch_' || (o_orderkey % 5) AS source_file
+        CASE WHEN copy = 1 THEN 'batch_9' ELSE 'batch_' || (o_orderkey % 5) END AS source_file
       FROM (SELECT *, unnest([0] || CASE WHEN o_orderkey % 10 = 0 THEN [1] ELSE [] END
               || CASE WHEN o_orderkey % 97 = 0 THEN [2] ELSE [] END) AS copy FROM orders)
     """,
     "raw_order_details": """
-      SELECT cast(l_orderkey AS VARCHAR) AS "OrderID",
+      SELECT cast(CASE WHEN l_orderkey % 43 = 0 THEN l_orderkey + 3000000000
+          ELSE l_orderkey END AS VARCHAR) AS "OrderID",
         CASE WHEN l_orderkey % 19 = 0 THEN '' ELSE cast(l_partkey AS VARCHAR) END AS "ProductID",
         l_linenumber AS "LineNumber",
         cast(l_extendedprice AS VARCHAR) AS "UnitPrice",
@@ -123,6 +126,10 @@ def stamp(name: str, fmt: str = "'%-m/%-d/%Y %-H:%M'") -> str:
 LENIENT = "['%-m/%-d/%Y %-H:%M', '%-m/%-d/%Y']"
 
 
+def key(*names: str) -> str:
+    return num(*names, to="BIGINT")
+
+
 def num(*names: str, to: str = "INTEGER") -> str:
     return ", ".join(f'try_cast("{n}" AS {to}) AS "{n}"' for n in names)
 
@@ -136,9 +143,9 @@ def region() -> str:
                    ELSE "Region" END AS "Region\""""
 
 
-def one_per(keys: str, rest: str) -> str:
-    order = ", ".join(f"{c} NULLS FIRST" for c in rest.split(", "))
-    return f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"
+def one_per(keys: str, rest: str, newest: str = "") -> str:
+    order = ", ".join(f"{c} NULLS LAST" for c in rest.split(", "))
+    return f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {newest}{order}) = 1"
 
 
 _PLACE = ("ContactName", "ContactTitle", "Address", "City")
@@ -149,9 +156,9 @@ _EMPLOYEE_TAIL = ("PostalCode", "Country", "HomePhone", "Extension", "Photo", "N
 def _employees(fmt: str) -> str:
     return f"""
       SELECT * FROM (
-        SELECT {num('EmployeeID')}, {keep('LastName', 'FirstName', 'Title', 'TitleOfCourtesy')},
+        SELECT {key('EmployeeID')}, {keep('LastName', 'FirstName', 'Title', 'TitleOfCourtesy')},
           {stamp('BirthDate', fmt)}, {stamp('HireDate', fmt)}, {keep('Address', 'City')}, {region()},
-          {keep(*_EMPLOYEE_TAIL)}, cast("ReportsTo" AS INTEGER) AS "ReportsTo"
+          {keep(*_EMPLOYEE_TAIL)}, cast("ReportsTo" AS BIGINT) AS "ReportsTo"
         FROM raw_employees)
       WHERE "EmployeeID" IS NOT NULL {one_per('"EmployeeID"', keep('LastName', 'Notes'))}
     """
@@ -160,16 +167,16 @@ def _employees(fmt: str) -> str:
 SILVER = {
     "silver_orders": f"""
       SELECT * FROM (
-        SELECT {num('OrderID')}, trim("Customer key") AS "CustomerID", {num('EmployeeID')},
-          {stamp('OrderDate')}, {stamp('RequiredDate')}, {stamp('ShippedDate')}, {num('ShipVia')},
+        SELECT {key('OrderID')}, trim("Customer key") AS "CustomerID", {key('EmployeeID')},
+          {stamp('OrderDate')}, {stamp('RequiredDate')}, {stamp('ShippedDate')}, {key('ShipVia')},
           {num('Freight', to='DOUBLE')}, "Region", source_file
         FROM raw_orders)
       WHERE "OrderID" IS NOT NULL AND "CustomerID" IS NOT NULL
-      {one_per('"OrderID"', keep('CustomerID', 'OrderDate'))}
+      {one_per('"OrderID"', keep('CustomerID', 'OrderDate'), 'source_file DESC NULLS LAST, ')}
     """,
     "silver_order_details": f"""
       SELECT * FROM (
-        SELECT {num('OrderID', 'ProductID')}, "LineNumber", {num('UnitPrice', to='DOUBLE')},
+        SELECT {key('OrderID', 'ProductID')}, "LineNumber", {num('UnitPrice', to='DOUBLE')},
           {num('Quantity')}, {num('Discount', to='DOUBLE')}
         FROM raw_order_details)
       WHERE "OrderID" IS NOT NULL AND "ProductID" IS NOT NULL
@@ -186,7 +193,7 @@ SILVER = {
     "silver_employees": _employees(LENIENT),
     "silver_products": f"""
       SELECT * FROM (
-        SELECT {num('ProductID')}, "ProductName", {num('SupplierID', 'CategoryID')},
+        SELECT {key('ProductID')}, "ProductName", {key('SupplierID', 'CategoryID')},
           "QuantityPerUnit", {num('UnitPrice', to='DOUBLE')},
           {num('UnitsInStock', 'UnitsOnOrder', 'ReorderLevel')}, "Discontinued"
         FROM raw_products)
@@ -194,20 +201,20 @@ SILVER = {
     """,
     "silver_categories": f"""
       SELECT * FROM (
-        SELECT {num('CategoryID')}, trim("CategoryName") AS "CategoryName", "Description"
+        SELECT {key('CategoryID')}, trim("CategoryName") AS "CategoryName", "Description"
         FROM raw_categories)
       WHERE "CategoryID" IS NOT NULL {one_per('"CategoryID"', keep('CategoryName'))}
     """,
     "silver_suppliers": f"""
       SELECT * FROM (
-        SELECT {num('SupplierID')}, trim("CompanyName") AS "CompanyName", {keep(*_PLACE)}, {region()},
+        SELECT {key('SupplierID')}, trim("CompanyName") AS "CompanyName", {keep(*_PLACE)}, {region()},
           {keep(*_REACH)}, "HomePage"
         FROM raw_suppliers)
       WHERE "SupplierID" IS NOT NULL {one_per('"SupplierID"', keep('CompanyName'))}
     """,
     "silver_shippers": f"""
       SELECT * FROM (
-        SELECT {num('ShipperID')}, trim("CompanyName") AS "CompanyName", "Phone" FROM raw_shippers)
+        SELECT {key('ShipperID')}, trim("CompanyName") AS "CompanyName", "Phone" FROM raw_shippers)
       WHERE "ShipperID" IS NOT NULL {one_per('"ShipperID"', keep('CompanyName'))}
     """,
 }
@@ -329,3 +336,70 @@ def key_checks(view: str, table: str, keys: list[str], ignore_blank: bool = True
         f"{c} AS value, {c} > 0 AS flagged FROM ({counts})"
         for c in ("duplicate_groups", "duplicate_rows")
     )
+
+
+# Fixed values, written out here so that the SQL does not share them with the library.
+REQUIRED_BRONZE = {
+    "orders": ["OrderID", "Customer key", "EmployeeID", "OrderDate", "RequiredDate", "ShippedDate",
+               "ShipVia", "Freight"],
+    "order_details": ["OrderID", "ProductID", "UnitPrice", "Quantity", "Discount"],
+    "customers": ["CustomerID", "CompanyName"],
+    "employees": ["EmployeeID", "Region"],
+    "products": ["ProductID", "ProductName", "SupplierID", "CategoryID"],
+    "categories": ["CategoryID", "CategoryName", "Picture"],
+    "suppliers": ["SupplierID", "CompanyName"],
+    "shippers": ["ShipperID", "CompanyName"],
+}
+REQUIRED_SILVER = {
+    "orders": ["OrderID", "CustomerID", "EmployeeID", "OrderDate", "ShipVia"],
+    "order_details": ["OrderID", "ProductID", "UnitPrice", "Quantity", "Discount"],
+    "customers": ["CustomerID", "CompanyName"],
+    "employees": ["EmployeeID"],
+    "products": ["ProductID", "ProductName", "SupplierID", "CategoryID"],
+    "categories": ["CategoryID", "CategoryName"],
+    "suppliers": ["SupplierID", "CompanyName"],
+    "shippers": ["ShipperID", "CompanyName"],
+}
+KEYS = {
+    "orders": ["OrderID"], "order_details": ["OrderID", "ProductID"], "customers": ["CustomerID"],
+    "employees": ["EmployeeID"], "products": ["ProductID"], "categories": ["CategoryID"],
+    "suppliers": ["SupplierID"], "shippers": ["ShipperID"],
+}
+TABLES = tuple(KEYS)
+AUDIT = ("ingestion_time", "source_file", "bronze_ingestion_time")
+
+
+def clean_counts(table: str, columns: list[str], broken: str = "0") -> str:
+    """One row per table: rows before, blank, unreadable, bad key, duplicate, after."""
+    full = " AND ".join(blank(c) for c in columns if c not in AUDIT)
+    rows = f"(SELECT count(*) FROM raw_{table})"
+    empty = f"(SELECT count(*) FROM raw_{table} WHERE {full})"
+    usable, names = _USABLE[table], keep(*KEYS[table])
+    keyed = f"SELECT * FROM ({_KEYED[table]}) WHERE {usable}"
+    good = f"(SELECT count(*) FROM ({keyed}))"
+    kept = f"(SELECT count(*) FROM (SELECT DISTINCT {names} FROM ({keyed})))"
+    return f"""SELECT '{table}' AS table_name, {rows} + {broken} AS rows_before, {empty} AS blank,
+      cast({broken} AS BIGINT) AS unreadable, {rows} - {empty} - {good} AS bad_key,
+      {good} - {kept} AS duplicate, {kept} AS rows_after"""
+
+
+_KEYED = {
+    "orders": f"""SELECT {key('OrderID')}, trim("Customer key") AS "CustomerID" FROM raw_orders""",
+    "order_details": f"SELECT {key('OrderID', 'ProductID')} FROM raw_order_details",
+    "customers": """SELECT trim("CustomerID") AS "CustomerID" FROM raw_customers""",
+    "employees": f"SELECT {key('EmployeeID')} FROM raw_employees",
+    "products": f"SELECT {key('ProductID')} FROM raw_products",
+    "categories": f"SELECT {key('CategoryID')} FROM raw_categories",
+    "suppliers": f"SELECT {key('SupplierID')} FROM raw_suppliers",
+    "shippers": f"SELECT {key('ShipperID')} FROM raw_shippers",
+}
+_USABLE = {
+    "orders": '"OrderID" IS NOT NULL AND "CustomerID" IS NOT NULL',
+    "order_details": '"OrderID" IS NOT NULL AND "ProductID" IS NOT NULL',
+    "customers": "\"CustomerID\" IS NOT NULL AND \"CustomerID\" <> ''",
+    "employees": '"EmployeeID" IS NOT NULL',
+    "products": '"ProductID" IS NOT NULL',
+    "categories": '"CategoryID" IS NOT NULL',
+    "suppliers": '"SupplierID" IS NOT NULL',
+    "shippers": '"ShipperID" IS NOT NULL',
+}

@@ -19,12 +19,19 @@ def test_csv_header_bom_quotes_and_line_breaks(spark, tmp_path):
     assert files.read_csv(spark, str(path), multi_line=False).count() > df.count()
 
 
-def test_json_schema_discovery_keeps_declared_types(spark, tmp_path):
-    (tmp_path / "a.json").write_text('{"id": 1, "extra": 2.5}\n')
-    declared = T.StructType.fromDDL("id STRING, gone INT")
-    found = files.discover_schema(spark, str(tmp_path / "a.json"), declared)
-    assert found.simpleString() == "struct<id:string,gone:int,extra:double>"
-    assert files.read_json_lines(spark, str(tmp_path / "a.json")).columns == ["extra", "id"]
+def test_undeclared_fields_are_kept_beside_declared_ones(spark, tmp_path):
+    lines = ['{"id": "1", "extra": 2.5, "deep": {"a": [1]}}', '{"id": "2"}', "", "  ", "{broken", '{"none": null, "id": "3"}']
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    df = files.read_landing(spark, str(tmp_path), files.landing_schema("id STRING, gone INT"))
+    assert df.columns == ["id", "gone", "ingestion_time", "_corrupt_record", "_undeclared", "source_file"]
+    rows = {(r.id, r._corrupt_record): r for r in df.collect()}
+    assert len(rows) == 4
+    assert rows["1", None]._undeclared == {"extra": "2.5", "deep": '{"a":[1]}'}
+    assert rows["2", None]._undeclared is None
+    assert rows[None, "{broken"]._undeclared is None
+    assert rows["3", None]._undeclared == {"none": None}
+    assert all(r.source_file.endswith("/a.json") for r in rows.values())
+    assert files.read_json_lines(spark, str(tmp_path / "a.json")).columns[-1] == "none"
 
 
 def test_absent_sources(spark, tmp_path):
@@ -35,10 +42,14 @@ def test_absent_sources(spark, tmp_path):
 
 
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_bytes(b"PAR1 this is no parquet file PAR1")
     results = files.read_all({
         "gone": lambda: files.read_csv(spark, str(tmp_path / "gone.csv")),
         "here": lambda: spark.range(3),
+        "broken": lambda: spark.read.parquet(str(tmp_path / "broken")),
     })
+    assert results["broken"].df is None and results["broken"].error
     assert results["gone"].df is None and results["gone"].error == "PATH_NOT_FOUND"
     assert results["here"].df.count() == 3 and results["here"].error is None
 

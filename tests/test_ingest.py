@@ -1,9 +1,12 @@
 import json
+import sys
+from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
 
+from astrolode.operators import ingest
 from astrolode.operators.ingest import ingest_all, ingest_table, new_files, total_new_rows, unseen_rows
+from astrolode.sources.files import or_none
 from astrolode.spec import CATALOG, TableSpec
 
 SPEC = TableSpec("things", "id BIGINT, name STRING", keys=("id",))
@@ -69,7 +72,8 @@ def test_more_files_than_one_append_takes(spark, zone):
 def test_files_without_rows_leave_no_table(spark, zone, tmp_path):
     land(zone[0], "things_a.json", [])
     assert run(spark, zone) == ("nothing new", 0)
-    assert not (tmp_path / "bronze").exists()
+    assert or_none(lambda: spark.read.parquet(zone[1])) is None
+    assert run(spark, zone) == ("nothing new", 0)
 
 
 def test_bad_lines_are_kept_as_text(spark, zone):
@@ -86,23 +90,30 @@ def test_a_fixed_schema_keeps_bronze_readable_when_types_drift(spark, zone):
     run(spark, zone)
     land(zone[0], "things_b.json", [{"id": 1.5}, {"id": 2, "extra": True}])
     assert run(spark, zone) == ("ingested", 2)
-    assert sorted(str(r.id) for r in spark.read.parquet(zone[1]).collect()) == ["1", "2", "None"]
+    rows = {str(r.id): r._undeclared for r in spark.read.parquet(zone[1]).collect()}
+    assert rows == {"1": None, "2": {"extra": "true"}, "None": None}
 
 
-def test_bronze_without_provenance_takes_everything(spark, zone):
-    spark.range(1).selectExpr("id", "'x' AS name").write.parquet(zone[1])
+def test_an_append_that_was_cut_off_is_done_again(spark, zone, monkeypatch):
     land(zone[0], "things_a.json", [{"id": 1}])
     assert run(spark, zone) == ("ingested", 1)
+    land(zone[0], "things_b.json", [{"id": 2}])
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "ledger_path", lambda bronze: (_ for _ in ()).throw(OSError("lost"))
+                      if sys._getframe(1).f_code.co_name == "_append" else f"{bronze}/_ledger")
+        with pytest.raises(OSError):
+            run(spark, zone)
+    land(zone[0], "things_0.json", [{"id": 3}])
+    assert run(spark, zone) == ("ingested", 2)
+    assert sorted(r.id for r in spark.read.parquet(zone[1]).collect()) == [1, 2, 3]
 
 
-def test_other_errors_are_not_taken_for_a_first_run(spark, zone):
+def test_a_run_with_nothing_new_opens_no_data(spark, zone):
     land(zone[0], "things_a.json", [{"id": 1}])
-    spark.range(1).selectExpr("id AS source_file").write.json(zone[1])
-    with pytest.raises(Exception) as caught:
-        run(spark, zone)
-    assert not isinstance(caught.value, AnalysisException) or caught.value.getCondition() not in (
-        "PATH_NOT_FOUND",
-    )
+    run(spark, zone)
+    for file in Path(zone[1]).glob("append_number=*/*.parquet"):
+        file.write_bytes(b"not to be read")
+    assert run(spark, zone) == ("nothing new", 0)
 
 
 def test_listing_reads_names_only(spark, zone):

@@ -49,6 +49,9 @@ def test_landing_to_gold(spark, lake, tmp_path):
     assert report["orders", "duplicate_groups", None] == 1
     assert report["categories", "blank_values", "Picture"] == 1
 
+    counts = {r.table_name: r for r in jobs.clean_counts(spark, lake).collect()}
+    assert set(counts) == set(CATALOG)
+    assert tuple(counts["orders"])[1:] == (4, 1, 0, 0, 1, 2)
     cleaned = {r.table: (r.rows_before, r.rows_after) for r in jobs.bronze_to_silver(spark, lake, parallel=3)}
     assert cleaned["orders"] == (4, 2) and cleaned["customers"] == (2, 2)
     assert lake.read(spark, SILVER, "customers").filter("CustomerID = 'B'").first().CompanyName == "Bob"
@@ -77,7 +80,7 @@ def test_landing_to_gold(spark, lake, tmp_path):
     assert published == {t.upper(): n for t, n in built.items()}
     assert spark.read.parquet(str(tmp_path / "dw" / "FACT_ORDERS")).count() == 2
 
-    again = jobs.silver_to_gold(spark, lake, "shop", partition_fact_by_year=True, hot_share=None)
+    again = jobs.silver_to_gold(spark, lake, "shop", partition_fact_by_year=True)
     assert again == built
     assert (spark.read.parquet(lake.path(GOLD, "fact_orders")).filter("year = 1996").count()) == 2
 

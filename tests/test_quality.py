@@ -35,6 +35,16 @@ def test_column_checks(spark):
     }
 
 
+def test_what_ingest_has_noted_is_not_content(spark):
+    ddl = DDL + ", _corrupt_record STRING, _undeclared MAP<STRING, STRING>, append_number INT"
+    rows = [("1", "a", "x", "f", None, None, 0), (None, None, None, "f", "{", None, 0), ("2", "b", "y", "f", None, {"z": "1"}, 0)]
+    got = checks(q.column_checks(spark.createDataFrame(rows, ddl), "t"))
+    assert got[("unreadable_rows", None)] == (1, True) and got[("rows_with_undeclared_fields", None)] == (1, True)
+    assert got[("fully_blank_rows", None)] == (1, True)
+    clean_rows = spark.createDataFrame(rows[:1], ddl)
+    assert not any(flagged for _, flagged in checks(q.column_checks(clean_rows, "t")).values())
+
+
 def test_checks_of_a_table_without_rows(spark):
     got = checks(q.column_checks(spark.createDataFrame([], DDL), "t", ["id"]))
     assert got[("rows", None)] == (0, False)

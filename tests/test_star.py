@@ -3,7 +3,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from astrolode.operators import star
-from astrolode.operators.skew import hot_values, join_unique
 
 PRODUCTS = (
     "ProductID INT, ProductName STRING, SupplierID INT, CategoryID INT, QuantityPerUnit STRING, "
@@ -45,7 +44,6 @@ def test_dim_products_keeps_products_without_a_category(spark):
     ]
     assert [(r[0], r[3], r[4], r[5]) for r in rows(got)] == [
         (1, 1, "Drinks", "wet"), (2, 7, None, None), (3, None, None, None)]
-    assert rows(got) == rows(star.dim_products(products, categories, "src", hot_share=0.2))
 
 
 def fact_inputs(spark):
@@ -75,13 +73,6 @@ def test_fact_orders(spark):
     assert fact.filter("gold_created_at IS NULL").isEmpty()
 
 
-def test_fact_is_the_same_with_hot_keys_split_off(spark):
-    plain = star.fact_orders(*fact_inputs(spark)).drop("gold_created_at")
-    for share in (0.01, 0.5):
-        split = star.fact_orders(*fact_inputs(spark), hot_share=share).drop("gold_created_at")
-        assert rows(split) == rows(plain)
-
-
 def test_decimal_amount(spark):
     fact = star.fact_orders(*fact_inputs(spark), decimal=True)
     assert dict(fact.dtypes)["TotalAmount"] == "decimal(18,4)"
@@ -94,46 +85,6 @@ def test_projected_dimensions(spark):
         {"ShipperID": 1, "ShipperName": "Fast", "Phone": "555"}]
 
 
-def skewed(spark):
-    """A third of the rows under one key, a tenth under NULL."""
-    return spark.range(0, 30000, 1, 6).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id END AS k", "id AS v")
-
-
-def test_hot_values(spark):
-    assert hot_values(skewed(spark), ["k", "v"]) == {"k": [7, None], "v": []}
-    assert hot_values(spark.range(0), ["id"]) == {"id": []}
-
-
-def test_split_join_equals_plain_join(spark, conf):
-    conf(autoBroadcastJoinThreshold="-1")
-    df = skewed(spark)
-    ref = spark.range(0, 30000, 2).selectExpr("id + 1 AS k", "id AS w")
-    hot = hot_values(df, ["k"])
-    for how in ("left", "inner"):
-        plain, split = df.join(ref, "k", how), join_unique(df, ref, "k", how, hot)
-        assert plain.columns == split.columns
-        assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
-    assert join_unique(df, ref, "k", "left", {"k": [None]}).count() == 30000
-
-
-def test_hot_rows_do_not_shuffle(spark, conf, plan_of):
-    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
-    df = skewed(spark)
-    ref = spark.range(0, 30000).selectExpr("id AS k", "id AS w")
-    plan = plan_of(join_unique(df, ref, "k", "left", hot_values(df, ["k"])))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
-
-
-def test_repeated_reference_keys_fall_back_to_the_plain_join(spark, monkeypatch):
-    from astrolode.operators import skew
-
-    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 5)
-    df = spark.range(100).selectExpr("0 AS k", "id AS v")
-    ref = spark.range(6).selectExpr("0 AS k", "id AS w")
-    assert join_unique(df, ref, "k", "inner", {"k": [0]}).count() == 600
-
-
 def test_run_time_skew_handling_splits_the_plain_join(spark, conf, plan_of):
     conf(
         autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
@@ -148,10 +99,24 @@ def test_run_time_skew_handling_splits_the_plain_join(spark, conf, plan_of):
         "TIMESTAMP '2024-01-01 00:00:00' AS OrderDate", "CAST(NULL AS TIMESTAMP) AS RequiredDate",
         "CAST(NULL AS TIMESTAMP) AS ShippedDate")
     fact = star.fact_orders(lines, orders, spark.range(200000).selectExpr("id AS ProductID", "1 AS SupplierID"))
-    assert "skew=true" in plan_of(fact.selectExpr("count(1)", "sum(TotalAmount)", "count(CustomerID)"))
+    plan = plan_of(fact.selectExpr("count(1)", "sum(TotalAmount)", "count(CustomerID)"))
+    assert "skew=true" in plan
     assert fact.count() == 200000
 
 
+def test_the_lines_are_scanned_once_also_with_hot_keys(spark, tmp_path, conf, plan_of):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    lines = spark.range(0, 30000, 1, 4).selectExpr(
+        "IF(id % 3 = 0, 0, id) AS OrderID", "IF(id % 2 = 0, 7, id) AS ProductID", "1.0D AS UnitPrice",
+        "1 AS Quantity", "0.0D AS Discount")
+    _, orders, products = fact_inputs(spark)
+    for name, df in (("l", lines), ("o", orders), ("p", products)):
+        df.write.parquet(str(tmp_path / name))
+    plan = plan_of(star.fact_orders(*(spark.read.parquet(str(tmp_path / n)) for n in "lop")))
+    final = plan.split("Initial Plan")[0]
+    assert final.count("Scan parquet") == 3 or final.count("FileScan parquet") == 3
+
+
 def test_join_reads_only_needed_columns(spark, tmp_path):
     lines, orders, products = fact_inputs(spark)
     for name, df in (("l", lines), ("o", orders), ("p", products)):

@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from astrolode.operators.clean import clean
 from astrolode.operators.ingest import ingest_table
 from astrolode.spec import TableSpec
-from astrolode.streaming.clean import _upsert_new_keys, clean_stream, clean_stream_within, read_silver
+from astrolode.streaming.clean import (
+    _write_batch,
+    _write_within,
+    clean_stream,
+    clean_stream_within,
+    compact,
+    read_late,
+    read_silver,
+    read_within,
+)
 from astrolode.streaming.ingest import ingest_stream
 
 SPEC = TableSpec("things", "id STRING, name STRING, at TIMESTAMP", keys=("id",), types={"id": "int"}, trims=("name",))
@@ -20,7 +29,7 @@ def land(folder, name, rows):
 
 
 def business(df):
-    return sorted(map(str, df.drop("source_file", "bronze_ingestion_time").collect()))
+    return sorted(map(str, df.drop("source_file", "bronze_ingestion_time", "append_number").collect()))
 
 
 def test_stream_ingest_equals_batch_ingest(spark, tmp_path):
@@ -100,12 +109,12 @@ def test_stream_clean_keeps_one_row_per_key_over_batches(spark, tmp_path, kind):
     def run():
         if kind == "upsert":
             clean_stream(stream_of(spark, source), SPEC, out, checkpoint).awaitTermination()
-            df = read_silver(spark, out)
+            df = read_silver(spark, out, SPEC)
         else:
             clean_stream_within(
                 stream_of(spark, source), SPEC, "at", "1 day", out, checkpoint
             ).awaitTermination()
-            df = spark.read.parquet(out)
+            df = read_within(spark, out)
         return sorted((r.id, r.name) for r in df.collect())
 
     batches(spark, source, *PARTS[:2])
@@ -119,8 +128,39 @@ def test_stream_clean_keeps_one_row_per_key_over_batches(spark, tmp_path, kind):
 def test_running_a_batch_again_changes_nothing(spark, tmp_path):
     out = str(tmp_path / "out")
     frames = [spark.createDataFrame([(i, n, None) for i, n, _ in part], SCHEMA) for part in PARTS]
-    write = _upsert_new_keys(SPEC, out)
+    write = _write_batch(SPEC, out)
     for batch_id, frame in enumerate(frames):
         write(frame, batch_id)
         write(frame, batch_id)
-    assert sorted((r.id, r.name) for r in read_silver(spark, out).collect()) == WANT
+    assert sorted((r.id, r.name) for r in read_silver(spark, out, SPEC).collect()) == WANT
+    assert compact(spark, out, SPEC, str(tmp_path / "whole")) == len(WANT)
+
+
+def test_stream_and_batch_keep_the_same_version(spark, tmp_path):
+    ddl = "id STRING, name STRING, at TIMESTAMP, source_file STRING"
+    rows = [("1", "b", None, "f1"), ("1", "a", None, "f2"), ("2", "x", None, None), ("2", "y", None, "f0")]
+    want = {tuple(r) for r in clean(spark.createDataFrame(rows, ddl), SPEC).collect()}
+    for n, order in enumerate((rows, rows[::-1])):
+        out = str(tmp_path / f"out{n}")
+        for batch_id, row in enumerate(order):
+            _write_batch(SPEC, out)(spark.createDataFrame([row], ddl), batch_id)
+        assert {tuple(r) for r in read_silver(spark, out, SPEC).collect()} == want
+
+
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = _write_within(SPEC, "at", "1 day", out)
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "id STRING, name STRING, at STRING").withColumn("at", F.col("at").cast("timestamp"))
+
+    parts = [
+        batch(("1", "a", "2024-01-01 00:00:00"), ("2", "b", "2024-01-05 12:00:00")),
+        batch(("2", "b", "2024-01-05 12:00:00"), ("1", "a", "2024-01-01 00:00:00"), ("3", "c", "2024-01-05 00:00:00"), ("4", "d", None)),
+        batch(("3", "c", "2024-01-05 00:00:00"), ("5", "e", "2024-01-06 00:00:00")),
+    ]
+    for batch_id, part in enumerate(parts):
+        write(part, batch_id)
+        write(part, batch_id)
+    assert sorted(r.id for r in read_within(spark, out).collect()) == [1, 2, 3, 5]
+    assert sorted(r.id for r in read_late(spark, out).collect()) == [1, 4]
