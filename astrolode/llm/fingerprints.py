@@ -21,7 +21,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -257,6 +257,20 @@ def _cuts(rows: DataFrame, count: int) -> list:
     return sorted(set(cuts or []))
 
 
+def _range_of(cuts: list) -> Column:
+    """The number of cuts at or below the id; 0 without one."""
+    if not cuts:
+        return F.lit(0)
+
+    @F.arrow_udf("int")
+    def place(ids: pa.Array) -> pa.Array:
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        at = np.searchsorted(cuts, ids.fill_null(cuts[0]).to_numpy(zero_copy_only=False), "right")
+        return pa.array(np.where(known, at, 0), pa.int32())
+
+    return place("doc_id")
+
+
 def compare_versions(docs: DataFrame) -> DataFrame:
     """Per document: fingerprints of its text and its edited text, and how near these and the
     next document (ascending doc_id; after the last the first) are.
@@ -267,36 +281,27 @@ def compare_versions(docs: DataFrame) -> DataFrame:
     empty result; extra columns are left out.
 
     Each range of doc_ids is sorted in one task, which reads it as a stream. A range also gets
-    the first row of the next range with rows, so texts move once and no task holds a range. What
-    reaches the driver is one id per range.
+    the first row of the next range with rows, so texts move once and no task holds a range.
+    How to cut is decided from the ids alone; what reaches the driver is one id per range.
     """
     spark = docs.sparkSession
-    count = partitions(spark)
-    rows = texts(docs).withColumn("tie", F.xxhash64("text"))
-    cuts = _cuts(rows, count)
-    # width_bucket-like: the number of cuts at or below the id, 0 for null.
-    place = F.coalesce(F.aggregate(
-        F.array(*map(F.lit, cuts)) if cuts else F.array().cast(f"array<{key_type(docs)}>"), F.lit(0),
-        lambda n, c: n + (F.col("doc_id") >= c).cast("int")), F.lit(0))
-    rows = rows.withColumn("place", place)
-    least = F.min(F.struct("doc_id", "tie"))
-    found = rows.groupBy("place").agg(least.alias("first")).collect()
-    found = sorted((r["place"], r["first"]["doc_id"], r["first"]["tie"]) for r in found)
+    cuts = _cuts(docs.select("doc_id"), partitions(spark))
+    ids = docs.select("doc_id", _range_of(cuts).alias("place"))
+    found = ids.groupBy("place").agg(
+        F.min("doc_id").alias("low"), F.bool_or(F.col("doc_id").isNull()).alias("nameless")).collect()
     # The first row of a range is also read by the range before it, that of the first by the last.
+    found = sorted((r["place"], None if r["nameless"] else r["low"]) for r in found)
     heads = spark.createDataFrame(
-        [(at, key, tie, found[i - 1][0]) for i, (at, key, tie) in enumerate(found)],
-        f"head_place int, head_id {key_type(docs)}, head_tie long, reader int")
-    is_head = (
-        (F.col("place") == F.col("head_place")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
-        & (F.col("tie") == F.col("head_tie"))
-    )
+        [(at, key, found[i - 1][0]) for i, (at, key) in enumerate(found)],
+        f"head_place int, head_id {key_type(docs)}, reader int")
+    is_head = (F.col("place") == F.col("head_place")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
     # One row per range: no more than there are shuffle partitions.
-    marked = rows.join(F.broadcast(heads), is_head, "left")
+    marked = texts(docs).withColumn("place", _range_of(cuts)).join(F.broadcast(heads), is_head, "left")
     once = F.array(F.struct("place", F.lit(False).alias("extra")))
     twice = F.array(F.struct("place", F.lit(False).alias("extra")),
                     F.struct(F.col("reader").alias("place"), F.lit(True).alias("extra")))
-    spread = marked.select(
-        "doc_id", "text", "tie", F.inline(F.when(F.col("reader").isNull(), once).otherwise(twice)))
+    spread = marked.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.inline(
+        F.when(F.col("reader").isNull(), once).otherwise(twice)))
     ranges = spread.repartitionById(len(cuts) + 1, F.col("place")).sortWithinPartitions(
         "place", "extra", "doc_id", "tie")
     kind = key_type(docs)
