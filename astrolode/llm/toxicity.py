@@ -122,7 +122,7 @@ def train(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
                 grad = np.concatenate((-fit.back * clean_p, -fit.back * clean_u))
             else:
                 grad = np.concatenate((grad_p + clean_p, clean_u))
-            by_slot = np.bincount(slots, np.repeat(grad, sizes), 1 << BITS)
+            by_slot = np.bincount(slots, np.repeat(grad, sizes), 1 << BITS).astype(float)
             by_slot += fit.decay * weights
             squares += by_slot ** 2
             weights -= fit.rate * by_slot / np.sqrt(squares)
