@@ -12,6 +12,7 @@ slots it has met, and the sums travel to the scoring tasks as one table of known
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,10 +42,25 @@ def slots(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> 15)) * 0x2C1B3C6D % (1 << 32) >> (32 - SLOT_BITS)
 
 
-def pairs(ids: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Every token with the one before it; the first follows the start."""
-    second = np.frombuffer(ids, "<u2").astype(np.int64)
-    return np.concatenate(([START], second[:-1])) if len(second) else second, second
+def pairs(texts: list[bytes], size: int = 1 << 20
+          ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Every token of the texts, with its text's number and the token before it (first: the start).
+
+    In pieces of about `size` tokens, so that long texts need no more memory than short ones.
+    """
+    held, count = [], 0
+    for row, ids in enumerate(texts):
+        tokens = np.frombuffer(ids, "<u2")
+        for at in range(0, len(tokens), size):
+            second = tokens[at:at + size].astype(np.int64)
+            first = np.concatenate(([tokens[at - 1] if at else START], second[:-1]))
+            held.append((np.full(len(second), row), first, second))
+            count += len(second)
+            if count >= size:
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
+                held, count = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
 def _encoded(docs: DataFrame, targets: DataFrame, path: str) -> DataFrame:
@@ -73,19 +89,13 @@ def counts(encoded: DataFrame) -> DataFrame:
     def run(batches):
         sums = [[np.zeros(n, np.int64) for n in sizes] for _ in range(2)]
         for batch in batches:
-            if not batch.num_rows:
-                continue
             is_target = batch["target"].to_numpy(zero_copy_only=False)
-            ids = batch["ids"].to_pylist()
-            for wanted in (True, False):
-                met = [pairs(x) for x, t in zip(ids, is_target, strict=True) if t == wanted]
-                if not met:
-                    continue
-                first, second = (np.concatenate(x) for x in zip(*met, strict=True))
-                for into in sums if wanted else sums[1:]:  # targets are background, too
-                    into[0] += np.bincount(second, minlength=sizes[0])
-                    np.add.at(into[1], slots(first, second), 1)
-                    into[2] += np.bincount(first, minlength=sizes[2])
+            for row, first, second in pairs(batch["ids"].to_pylist()):
+                own = is_target[row]
+                for into, a, b in ((sums[0], first[own], second[own]), (sums[1], first, second)):
+                    into[0] += np.bincount(b, minlength=sizes[0])
+                    np.add.at(into[1], slots(a, b), 1)
+                    into[2] += np.bincount(a, minlength=sizes[2])
         for kind in range(3):
             at = np.flatnonzero(sums[1][kind])
             yield pa.record_batch([
@@ -147,15 +157,14 @@ def score(docs: DataFrame, targets: DataFrame, path: str, smoothing: Smoothing =
     def run(batches):
         both = held.value
         for batch in batches:
-            met = [pairs(x) for x in batch["ids"].to_pylist()]
-            sizes = np.array([len(second) for _, second in met], np.int64)
-            none = np.empty(0, np.int64)
-            first = np.concatenate([none, *(a for a, _ in met)])
-            second = np.concatenate([none, *(b for _, b in met)])
-            row = np.repeat(np.arange(len(met)), sizes)
-            means = [
-                np.bincount(row, m.loss(first, second), len(met)) / np.maximum(sizes, 1) for m in both
-            ]
+            ids = batch["ids"].to_pylist()
+            sizes = np.array([len(x) // 2 for x in ids], np.int64)
+            means = [np.zeros(len(ids)) for _ in both]
+            for row, first, second in pairs(ids):
+                for mean, model in zip(means, both, strict=True):
+                    mean += np.bincount(row, model.loss(first, second), len(ids))
+            for mean in means:
+                mean /= np.maximum(sizes, 1)
             empty = sizes == 0
             yield pa.record_batch([
                 batch["doc_id"], pa.array(sizes), pa.array(means[0], mask=empty),

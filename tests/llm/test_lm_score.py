@@ -71,3 +71,13 @@ def test_slots_spread():
     found = lm_score.slots(a, b)
     assert found.min() >= 0 and found.max() < 1 << lm_score.SLOT_BITS
     assert len(np.unique(found)) > 185_000
+
+
+def test_long_texts_come_in_pieces():
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 49_000, n).astype("<u2").tobytes() for n in (0, 5, 1000, 1, 0, 250)]
+    whole = [np.concatenate(x) for x in zip(*lm_score.pairs(texts), strict=True)]
+    parts = [np.concatenate(x) for x in zip(*lm_score.pairs(texts, 64), strict=True)]
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    assert max(len(row) for row, _, _ in lm_score.pairs(texts, 64)) < 2 * 64
+    assert list(lm_score.pairs([])) == [] and list(lm_score.pairs([b""])) == []
