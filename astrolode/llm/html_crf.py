@@ -171,6 +171,10 @@ def _laid_out(article: list[tuple[str, str]], rnd: random.Random, phrases: list[
     for i, (own, text) in enumerate(article):
         if i in spots:
             page.aside(spots[i])
+        if own == "p" and i and rnd.random() < 0.08:
+            page.put(rnd.choice(("h2", "h3")), page.phrase(rnd.randint(2, 6)), 1)
+        if rnd.random() < 0.15:
+            own = rnd.choice(("h2", "h3")) if own in HEADINGS else rnd.choice(("blockquote", "li", "pre"))
         page.put(own, text, 1)
     nested = tag and rnd.random() < 0.4
     if nested:
