@@ -62,9 +62,11 @@ def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     declared = F.array(*(F.lit(f.name) for f in schema.fields))
     more = F.map_filter(
         F.from_json("value", "map<string,string>", options), lambda k, _: ~F.array_contains(declared, k))
+    # Only lines with such fields are parsed twice; for the others a look at their names is enough.
+    unknown = F.size(F.array_except(F.json_object_keys("value"), declared)) > 0
     rows = lines.filter(F.trim("value") != "").select(
         F.from_json("value", schema, options).alias("_row"),
-        F.when(F.size(more) > 0, more).alias(UNDECLARED), *(c for c in lines.columns if c != "value"),
+        F.when(unknown, more).alias(UNDECLARED), *(c for c in lines.columns if c != "value"),
     )
     rest = [c for c in rows.columns if c not in ("_row", UNDECLARED)]
     return rows.select("_row.*", UNDECLARED, *rest)
