@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import math
+import re
 import shutil
 import tempfile
 import uuid
@@ -61,7 +62,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # not local-cluster
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.mkdtemp(prefix="astrolode-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
