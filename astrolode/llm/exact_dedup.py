@@ -93,9 +93,14 @@ def screen(digests: DataFrame, snapshot_filters: DataFrame, ranges: int) -> Data
 
 
 def same_bytes(positives: DataFrame, incoming: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Groups of the incoming batch and of the snapshot that hold the same text, byte by byte."""
-    new = incoming.join(positives, "digest", "left_semi").alias("new")
-    old = snapshot.alias("old")
+    """Groups of the incoming batch and of the snapshot that hold the same text, byte by byte.
+
+    The digests meet first, without texts; only groups they name bring theirs.
+    """
+    met = snapshot.select("digest", "tag").join(positives, "digest", "left_semi")
+    met = written(met.select("tag").distinct(), "met")
+    new = incoming.join(met, "tag", "left_semi").alias("new")
+    old = snapshot.join(met, "tag", "left_semi").alias("old")
     equal = (F.col("new.digest") == F.col("old.digest")) & (F.col("new.norm") == F.col("old.norm"))
     return new.join(old, equal).select(
         "new.digest", "new.tag",
@@ -139,16 +144,21 @@ def _dedup(rows: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """One document of each group of equal texts; all columns stay as they are."""
-    stay = _dedup(fingerprinted(docs)).filter("kept").select("doc_id", "digest")
-    stay = written(stay, "stay")
-    text = F.coalesce(docs["text"], F.lit(""))
-    same = docs["doc_id"].eqNullSafe(stay["doc_id"]) & (
-        digest_of(normalised(text)) == stay["digest"])
-    kept = docs.join(stay, same, "left_semi")
-    # Only where doc_ids are repeated can several rows meet one that stays.
-    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
+    """One document of each group of equal texts; all columns stay as they are.
+
+    The rows that go are looked up, as they are mostly far fewer than those that stay.
+    """
+    rows = written(_dedup(fingerprinted(docs)).select("doc_id", "digest", "kept"), "decided")
+    if rows.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        go = written(rows.filter(~F.col("kept")).select("doc_id"), "go")
+        return docs.join(go, docs["doc_id"].eqNullSafe(go["doc_id"]), "left_anti")
+    # A repeated doc_id does not name a row: its text does, and of equal rows one stays.
+    stay = rows.filter("kept").select("doc_id", "digest")
+    digest = digest_of(normalised(F.coalesce(docs["text"], F.lit(""))))
+    same = docs["doc_id"].eqNullSafe(stay["doc_id"]) & (digest == stay["digest"])
     name = "_" * (1 + max(map(len, docs.columns)))
-    return kept.withColumn(name, digest_of(normalised(F.coalesce("text", F.lit(""))))).dropDuplicates(
-        ["doc_id", name]).drop(name)
+    return (
+        docs.join(stay, same, "left_semi")
+        .withColumn(name, digest_of(normalised(F.coalesce("text", F.lit("")))))
+        .dropDuplicates(["doc_id", name]).drop(name)
+    )
