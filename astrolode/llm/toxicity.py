@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from astrolode.llm.common import key_type, texts
+from astrolode.llm.common import key_type, texts, written
 
 BITS = 18
 STEM = 6
@@ -62,18 +62,16 @@ def features(text: str) -> np.ndarray:
     return np.array(sorted({s for w in words_of(text) if w for s in _slots(w)}), np.int32)
 
 
-def telling(toxic: list[np.ndarray], unlabelled: list[np.ndarray], fit: Fit) -> np.ndarray:
+def telling(found: np.ndarray, toxic: int, among: np.ndarray, unlabelled: int, fit: Fit) -> np.ndarray:
     """Which slots occur in toxic texts much more, or less, often than in unlabelled ones.
 
     More than `surprise` standard deviations from what the unlabelled rate leads to expect, in
-    at least `least` toxic texts where it is more. All other slots keep a weight of zero.
+    at least `least` toxic texts where it is more. All other slots keep a weight of zero. `found` and
+    `among` count the toxic and the unlabelled texts that have each slot.
     """
-    def counts(rows):
-        return np.bincount(np.concatenate(rows), minlength=1 << BITS)
-
-    found, rate = counts(toxic), (counts(unlabelled) + 1) / (len(unlabelled) + 2)
-    expected = len(toxic) * rate
-    z = (found - expected) / np.sqrt(expected * (1 - rate))
+    rate = (among + 1) / (unlabelled + 2)
+    expected = toxic * rate
+    z = (found - expected) / np.sqrt(np.maximum(expected * (1 - rate), 1e-9))
     return (z >= fit.surprise) & (found >= fit.least) | (z <= -fit.surprise)
 
 
@@ -94,13 +92,13 @@ def _batches(rows: list[np.ndarray], count: int, rng) -> list[list[np.ndarray]]:
 
 def train(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
           fit: Fit = Fit(), seed: int = 1) -> tuple[np.ndarray, float]:
-    """Weights and bias. Without toxic or unlabelled examples the score is the prior's for all."""
+    """Weights and bias from rows of telling slots. Without toxic or unlabelled examples the score
+    is the prior's for all.
+    """
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     weights, bias = np.zeros(1 << BITS), float(np.log(prior / (1 - prior)))
     if not toxic or not unlabelled:
         return weights, bias
-    use = telling(toxic, unlabelled, fit)
-    toxic, unlabelled = ([row[use[row]] for row in rows] for rows in (toxic, unlabelled))
     rng = np.random.default_rng(seed)
     squares, bias_square = np.full(1 << BITS, 1e-8), 1e-8
     steps = max(1, len(unlabelled) // fit.batch)
@@ -161,6 +159,34 @@ class Model:
         return _sigmoid(logits)
 
 
+def _telling_slots(rows: DataFrame, fit: Fit) -> np.ndarray:
+    """`telling` of the sample's features; the driver gets one row per slot."""
+    def count(batches):
+        sums, texts_ = {}, {}
+        for batch in batches:
+            for role, slots in zip(batch["role"].to_pylist(), batch["slots"].to_pylist(), strict=True):
+                held = sums.setdefault(role, np.zeros(1 << BITS, np.int64))
+                held[np.frombuffer(slots, np.int32)] += 1
+                texts_[role] = texts_.get(role, 0) + 1
+        for role, held in sums.items():
+            at = np.flatnonzero(held)  # slot -1 counts the texts
+            yield pa.record_batch([
+                pa.array([role] * (len(at) + 1)), pa.array(np.append(at, -1).astype(np.int32)),
+                pa.array(np.append(held[at], texts_[role]))], ["role", "slot", "n"])
+
+    parts = rows.select("role", "slots").mapInArrow(count, "role string, slot int, n long")
+    got = parts.groupBy("role", "slot").agg(F.sum("n").alias("n")).toArrow()
+    role, slot, n = (np.array(got[c].to_pylist()) for c in ("role", "slot", "n"))
+    counts = []
+    for wanted in ("toxic", "unlabelled"):
+        own = (role == wanted) & (slot >= 0) if len(role) else np.zeros(0, bool)
+        dense = np.zeros(1 << BITS, np.int64)
+        dense[slot[own].astype(int)] = n[own]
+        total = int(n[(role == wanted) & (slot < 0)].sum()) if len(role) else 0
+        counts += [dense, total]
+    return telling(*counts, fit)
+
+
 def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     """Train on a bounded sample of labelled rows that are not held out.
 
@@ -191,8 +217,18 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
 
     # At most the two sample sizes of ids, so this side is small by construction.
     sample = texts(docs).join(F.broadcast(chosen), "doc_id")
-    rows = sample.mapInArrow(run, f"doc_id {key_type(docs)}, role string, slots binary")
-    made = sorted(((r["doc_id"], r["role"], r["slots"]) for r in rows.collect()))
+    rows = written(
+        sample.mapInArrow(run, f"doc_id {key_type(docs)}, role string, slots binary"), "features")
+    use = _telling_slots(rows, fit)
+
+    def pick(batches):
+        for batch in batches:
+            slots = [np.frombuffer(s, np.int32) for s in batch["slots"].to_pylist()]
+            few = pa.array([s[use[s]].tobytes() for s in slots], pa.binary())
+            yield pa.record_batch([batch["doc_id"], batch["role"], few], ["doc_id", "role", "slots"])
+
+    few = rows.mapInArrow(pick, rows.schema)
+    made = sorted(((r["doc_id"], r["role"], r["slots"]) for r in few.collect()))
     parts = {
         role: [np.frombuffer(s, np.int32) for _, r, s in made if r == role]
         for role in ("toxic", "unlabelled")
