@@ -255,6 +255,9 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Da
     Rows that share a doc_id are one document: they stay if one of them has the smallest id of
     its component. A component without any doc_id keeps its rows, as none can be named.
     """
-    stay = components(docs, shingle, bits).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
+    found = components(docs, shingle, bits)
+    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # The rows that go are looked up, as they are mostly far fewer than those that stay.
+    go = found.groupBy("doc_id").agg(stays.alias("stays")).filter(~F.col("stays")).select("doc_id")
+    go = written(go, "go")
+    return docs.join(go, docs["doc_id"].eqNullSafe(go["doc_id"]), "left_anti")
