@@ -18,8 +18,8 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,9 @@ from tokenizers import Tokenizer
 
 from astrolode.llm.common import gathered, key_type, texts
 
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 CACHED_LENGTH = 64
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
 _NONE = np.int32(2**31 - 1)
 
 # str.split() also cuts at these four control characters; the tokenizer takes them as symbols.
@@ -99,8 +99,11 @@ class Vocabulary:
         )
         self._unstable = re.compile(f"[^\\x00-\\u{_LAST_STABLE:04x}]")
         self._shown = {c: b for b, c in enumerate(shown)}
-        self._file = Tokenizer.from_file(path)
-        self._cache: dict[str, bytes] = {}
+        self._path = path
+        # No word at all, and the special tokens.
+        self._fixed = {"": b""} | {
+            mark: int(i).to_bytes(4, "little") for mark, i in self.special.items()}
+        self._cache: dict[str, bytes] = dict(self._fixed)
 
     def _check_order(self, left, right) -> None:
         made = np.full(1 << 16, -1, np.int64)
@@ -188,16 +191,23 @@ class Vocabulary:
         joined = "".join(c.lower() for c in joined) if "\u03a3" in joined else joined.lower()
         return self._split.findall(joined)
 
+    @cached_property
+    def _file(self) -> Tokenizer:
+        return Tokenizer.from_file(self._path)
+
     def _pieces_by_file(self, word: str) -> list[str]:
         parts = self._file.pre_tokenizer.pre_tokenize_str(self._file.normalizer.normalize_str(word))
         return [*(bytes(self._shown[c] for c in part).decode() for part, _ in parts), "\n"]
 
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        """The ids of the given raw words, as little-endian 32-bit bytes."""
-        plain, other = list(words), []
-        if self._unstable.search("\n".join(plain)):
-            other = [w for w in plain if self._unstable.search(w)]
-            plain = list(set(plain).difference(other))
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of raw words, as little-endian 32-bit bytes, in no more than one pass over them."""
+        order = None
+        plain, other = words, []
+        if self._unstable.search("\n".join(words)):
+            by_file = [self._unstable.search(w) is not None for w in words]
+            order = np.argsort(by_file, kind="stable")
+            plain = [w for w, late in zip(words, by_file, strict=True) if not late]
+            other = [w for w, late in zip(words, by_file, strict=True) if late]
         pieces = self._pieces(plain) if plain else []
         for w in other:
             pieces += self._pieces_by_file(w)
@@ -209,10 +219,16 @@ class Vocabulary:
         inside = ~(space | line)
         ids, lengths = self.merge_words(raw[inside], np.cumsum(inside)[last])
         words_before = np.cumsum(line)[last]
-        total = np.bincount(words_before, weights=lengths, minlength=len(plain) + len(other))
+        total = np.bincount(words_before, weights=lengths, minlength=len(words))
         cuts = np.concatenate(([0], np.cumsum(total).astype(np.int64) * 4)).tolist()
         flat = ids.tobytes()
-        return {w: flat[a:b] for w, a, b in zip(plain + other, cuts, cuts[1:], strict=False)}
+        found = [flat[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        if order is None:
+            return found
+        back = [b""] * len(words)
+        for at, got in zip(order.tolist(), found, strict=True):
+            back[at] = got
+        return back
 
     def encode_batch(self, batch: Sequence[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -223,8 +239,10 @@ class Vocabulary:
             if chars >= CHUNK_CHARS:
                 yield from self._encode(held)
                 held, chars = [], 0
+                pa.default_memory_pool().release_unused()
         if held:
             yield from self._encode(held)
+            pa.default_memory_pool().release_unused()
 
     def _odd(self, text: str) -> list[str] | None:
         """The words of a text that white space alone does not cut rightly, else None."""
@@ -240,32 +258,36 @@ class Vocabulary:
         plain = [None if i in odd else text for i, text in enumerate(held)]
         words = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
         coded = words.flatten().dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        found = self._look_up(different, {w for ws in odd.values() for w in ws})
-        ids = pa.array([found[w] for w in different], pa.large_binary()).take(coded.indices)
+        found = pa.array(self._look_up(coded.dictionary.to_pylist()), pa.large_binary())
+        ids = found.take(coded.indices)
         flat = ids.buffers()[2] if len(ids) else None
         ends = _offsets(ids)[words.offsets.to_numpy()].tolist()
         for i, (start, end) in enumerate(zip(ends, ends[1:], strict=False)):
             if i in odd:
-                yield b"".join(found[w] for w in odd[i])
+                different = list(dict.fromkeys(odd[i]))
+                known = dict(zip(different, self._look_up(different), strict=True))
+                yield b"".join(map(known.__getitem__, odd[i]))
             else:
                 yield flat[start:end].to_pybytes() if end > start else b""
 
-    def _look_up(self, different: list[str], more: set[str]) -> dict[str, bytes]:
-        """The ids of the given words, from the cache or newly encoded."""
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """The ids of different words, from the cache or newly encoded."""
         cache = self._cache
-        found = {w: cache.get(w) for w in (*different, *more)}
-        missing = [w for w, ids in found.items() if ids is None and w and w not in self.special]
-        learnt = self._learn(missing) if missing else {}
-        found.update(learnt)
-        found[""] = b""
-        found.update((m, int(i).to_bytes(4, "little")) for m, i in self.special.items())
+        ids = list(map(cache.get, words))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        if not gaps:
+            return ids
+        missing = [words[i] for i in gaps]
+        learnt = self._learn(missing)
+        for i, got in zip(gaps, learnt, strict=True):
+            ids[i] = got
         if len(cache) > CACHED_WORDS:  # what is frequent is in this chunk, too
-            self._cache = cache = {w: cache[w] for w in found.keys() & cache.keys()}
-        for w in [w for w in learnt if len(w) > CACHED_LENGTH]:
-            del learnt[w]
-        cache.update(learnt)
-        return found
+            self._cache = cache = self._fixed | {
+                w: x for w, x in zip(words, ids, strict=True) if w in cache}
+        cache.update(zip(missing, learnt, strict=True))
+        for w in [w for w in missing if len(w) > CACHED_LENGTH]:
+            del cache[w]
+        return ids
 
     def decode(self, ids: bytes) -> bytes:
         """The text of ids (as `encode_batch` gives them), in UTF-8.
