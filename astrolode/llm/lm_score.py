@@ -66,7 +66,8 @@ def pairs(texts: list[bytes], size: int = 1 << 20
 def _encoded(docs: DataFrame, targets: DataFrame, path: str) -> DataFrame:
     """`doc_id`, 16-bit `ids` and whether the document is a target, written once."""
     marked = targets.select("doc_id").dropna().distinct().withColumn("target", F.lit(True))
-    rows = texts(docs).join(marked, "doc_id", "left").select(
+    # Labels grow with the corpus: sorted and merged at every size, as one plan for all.
+    rows = texts(docs).join(marked.hint("merge"), "doc_id", "left").select(
         "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
     def run(batches):
