@@ -81,3 +81,68 @@ def test_long_texts_come_in_pieces():
     assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
     assert max(len(row) for row, _, _ in lm_score.pairs(texts, 64)) < 2 * 64
     assert list(lm_score.pairs([])) == [] and list(lm_score.pairs([b""])) == []
+
+
+def exact(rows, targets, smoothing):
+    """As `brute`, with every pair counted by itself."""
+    library = Tokenizer.from_file(PATH)
+    ids = [library.encode(t, add_special_tokens=False).ids for _, t in rows]
+    models = []
+    for chosen in ([x for (i, _), x in zip(rows, ids, strict=True) if i in targets], ids):
+        token, pair, context = Counter(), Counter(), Counter()
+        for x in chosen:
+            token.update(x)
+            context.update([lm_score.START, *x[:-1]] if x else [])
+            pair.update(zip([lm_score.START, *x], x, strict=False))
+        models.append((token, pair, context, sum(token.values())))
+    out = {}
+    for (i, _), x in zip(rows, ids, strict=True):
+        losses = []
+        for token, pair, context, total in models:
+            loss = 0.0
+            for a, b in zip([lm_score.START, *x], x, strict=False):
+                alone = (token[b] + smoothing.token) / (total + smoothing.token * lm_score.TOKENS)
+                loss -= math.log((pair[a, b] + smoothing.context * alone) / (context[a] + smoothing.context))
+            losses.append(loss / len(x))
+        out[i] = len(x), *losses
+    return out
+
+
+def test_pairs_that_share_a_slot_are_told_apart(spark, docs_of):
+    library = Tokenizer.from_file(PATH)
+    rng = np.random.default_rng(2)
+    some = [w for w in (library.decode([int(i)]).strip() for i in rng.integers(1000, 49_000, 9000))
+            if w.isascii() and w.isalpha()]
+    rows = [(i, " ".join(rng.choice(some, 2000))) for i in range(60)]
+    ids = [library.encode(t, add_special_tokens=False).ids for _, t in rows]
+    met = {(a, b) for x in ids for a, b in zip(x, x[1:], strict=False)}
+    assert len(set(lm_score.slots(*np.array(sorted(met)).T).tolist())) < len(met) - 500
+    smoothing = lm_score.Smoothing(0.5, 0.5)
+    targets = set(range(0, 60, 7))
+    frame = spark.createDataFrame([(i,) for i in targets], "doc_id long")
+    want = exact(rows, targets, smoothing)
+    got = lm_score.score(docs_of(rows).repartition(3), frame, PATH, smoothing).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        n, target, background = want[r["doc_id"]]
+        assert r["n_tokens"] == n
+        assert (r["target_loss"], r["background_loss"]) == pytest.approx((target, background), rel=1e-9)
+
+
+def test_pieces_and_chunks_change_nothing(spark, docs_of, monkeypatch):
+    rows = [(i, " ".join(f"word{(i * j) % 37}" for j in range(200 * (i % 5)))) for i in range(12)]
+    frame = spark.createDataFrame([(2,), (3,)], "doc_id long")
+    docs = docs_of(rows).coalesce(2)
+
+    def got():
+        return {r["doc_id"]: r for r in lm_score.score(docs, frame, PATH).collect()}
+
+    whole = got()
+    monkeypatch.setattr(lm_score, "PIECE_TOKENS", 64)
+    monkeypatch.setattr(lm_score, "CHUNK_TOKENS", 100)
+    small = got()
+    assert whole.keys() == small.keys() and len(whole) == 12
+    for i, r in whole.items():
+        assert small[i]["n_tokens"] == r["n_tokens"]
+        assert small[i]["difference"] == pytest.approx(r["difference"], abs=1e-12)
+        assert small[i]["target_loss"] == (pytest.approx(r["target_loss"]) if r["n_tokens"] else None)
