@@ -1,7 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A text is cut into paragraphs: its lines, and long lines further where the text itself says so
-(after a word whose hash ends in zeros), so that an insertion moves no other cut. Each different
+(by a rolling hash of the last characters), so that an insertion moves no cut far behind it; where
+it says nothing for `LONGEST` bytes, a paragraph ends there, be it within a word. Each different
 paragraph, counted by its occurrence, goes into a few cells of a sketch; a cell holds how many
 went in, the XOR of their digests and the XOR of a check of each. Two sketches of one size
 subtract cell by cell: what both texts share cancels out, and peeling the rest gives the digests
@@ -17,7 +18,6 @@ import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import repeat
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,11 @@ from astrolode.llm.common import key_type, partitions, texts
 # Of a fingerprint; a retry takes twice as many.
 CELLS = 8
 HASHES = 3
-# On average a paragraph ends after this many words of a line.
-WORDS = 8
+# Bytes of a paragraph within a line (its last one can be shorter). Between the two, one in 2 ** CUT_BITS
+# positions ends it.
+SHORTEST = 16
+LONGEST = 48
+CUT_BITS = 5
 # Texts that are worked on together, by their number of characters.
 CHUNK_CHARS = 2_000_000
 
@@ -39,19 +42,34 @@ _U = np.uint64
 _CELL = np.dtype([("count", "<i4"), ("key", "<u8"), ("check", "<u4")])
 
 
+def _cuts_within(whole: bytes) -> list[int]:
+    """Positions behind which a paragraph may end, by a hash of the 8 bytes before them."""
+    if len(whole) < 8:
+        return []
+    windows = np.ndarray(len(whole) - 7, "<u8", whole, strides=(1,))
+    hashes = (windows ^ (windows >> _U(29))) * _U(0x9E3779B97F4A7C15)
+    return (np.flatnonzero(hashes >> _U(64 - CUT_BITS) == 0) + 8).tolist()
+
+
 def paragraphs(text: str) -> list[bytes]:
     """The paragraphs of a text; words and lines, not the white space between, make them."""
-    found = []
-    for line in text.encode().split(b"\n"):
-        words = line.split()
-        if not words:
-            continue
-        ends = np.fromiter(map(crc32, words), np.uint32, len(words)) % WORDS == 0
-        ends[-1] = True
-        at = 0
-        for end in (np.flatnonzero(ends) + 1).tolist():
-            found.append(b" ".join(words[at:end]))
-            at = end
+    lines = [x for x in (b" ".join(line.split()) for line in text.encode().split(b"\n")) if x]
+    whole = b"\n".join(lines)
+    # Windows that reach into the line before end within SHORTEST bytes of a line: none counts.
+    cuts, k = [*_cuts_within(whole), len(whole) + LONGEST], 0
+    found, at = [], 0
+    for line in lines:
+        end = at + len(line)
+        while end - at > SHORTEST:
+            while cuts[k] < at + SHORTEST:
+                k += 1
+            cut = min(cuts[k], at + LONGEST)
+            if cut >= end:
+                break
+            found.append(whole[at:cut])
+            at = cut
+        found.append(whole[at:end])
+        at = end + 1
     return found
 
 

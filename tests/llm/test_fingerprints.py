@@ -81,3 +81,25 @@ def test_text_form_and_moved_paragraphs():
     assert fp.likenesses([keys], [fp.digests("something put before " + text)])[0] > 0.9
     assert fp.likenesses([keys], [keys]) == [1.0]
     assert len(fp.digests("same line\n" * 50)) == 50
+
+
+def test_every_long_text_has_several_paragraphs():
+    rnd = random.Random(6)
+    phrases = ["spam ", "Ating. ", "Of Of ining ", "a", "日本語", "ab\n", "x" * 70 + " ", "the very same words again and "]
+    texts = [(p * 400)[:n] for p in phrases for n in (100, 101, 333, 1000)]
+    texts += ["".join(rnd.choice("abcdef ") for _ in range(n)) for n in (100, 400, 3000)]
+    for text in texts:
+        parts = fp.paragraphs(text)
+        assert len(parts) >= len(text.encode()) // fp.LONGEST - 1 and len(parts) > 1
+        assert max(map(len, parts)) <= fp.LONGEST
+        assert b"".join(parts).replace(b" ", b"") == "".join(text.split()).encode()
+        new = fp.digests(fp.edited(text, "QRS TUV. " * len(text)))
+        assert 0 < fp.likenesses([fp.digests(text)], [new])[0] < 0.6
+
+
+def test_insertion_moves_no_cut_far_behind_it():
+    rnd = random.Random(8)
+    text = " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(1, 12))) for _ in range(3000))
+    put = text[:9000] + "something else" + text[9000:]
+    assert fp.likenesses([fp.digests(text)], [fp.digests(put)])[0] > 0.95
+    assert fp.likenesses([fp.digests("a line before\n" + text)], [fp.digests(text)])[0] > 0.99
