@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import repeat
@@ -266,27 +267,62 @@ def _neighbours(batches):
         yield pa.array(keys, kind), now, after
 
 
-def _cuts(rows: DataFrame, count: int) -> list:
-    """Ids that cut the rows into about as many ranges."""
-    shares = [i / count for i in range(1, count)]
-    if not shares:
-        return []
-    cuts = rows.agg(F.percentile_approx("doc_id", shares, 20 * count).alias("cuts")).first()["cuts"]
-    return sorted(set(cuts or []))
+# Ties, the hashes of texts, are spread evenly over the 64-bit numbers from this one on.
+LOWEST = -2**63
 
 
-def _range_of(cuts: list) -> Column:
-    """The number of cuts at or below the id; 0 without one."""
+def _cuts(rows: DataFrame, count: int) -> list[tuple]:
+    """(id, tie) pairs that cut the rows into about as many ranges, in order; None is before all ids.
+
+    An id, or none, that fills several ranges is cut between its ties, evenly.
+    """
+    if count < 2:
+        return []
+    shares = [i / count for i in range(1, count)]
+    got = rows.agg(
+        F.percentile_approx("doc_id", shares, 20 * count).alias("cuts"),
+        F.count("doc_id").alias("named"), F.count(F.lit(1)).alias("rows")).first()
+    spans = Counter(got["cuts"] or [])
+    # Rows without an id come first; their share of the ranges is their share of the rows.
+    nameless = count * (got["rows"] - got["named"]) // max(got["rows"], 1)
+    cuts = [(None, LOWEST + (1 << 64) * i // nameless) for i in range(1, nameless)]
+    for key in sorted(spans):
+        cuts += [(key, LOWEST + (1 << 64) * i // spans[key]) for i in range(spans[key])]
+    return cuts
+
+
+def _range_of(cuts: list[tuple]) -> Column:
+    """The number of cuts at or below the columns `doc_id` and `tie`."""
     if not cuts:
         return F.lit(0)
+    keys = np.array([key for key, _ in cuts if key is not None])
+    nameless = len(cuts) - len(keys)
+    ties = {}
+    for key, tie in cuts:
+        ties.setdefault(key, []).append(tie)
+    ties = {key: np.array(held, np.int64) for key, held in ties.items()}
+    several = np.array([key for key, held in ties.items() if key is not None and len(held) > 1],
+                       keys.dtype)
 
     @F.arrow_udf("int")
-    def place(ids: pa.Array) -> pa.Array:
+    def place(ids: pa.Array, tie: pa.Array) -> pa.Array:
+        tie = tie.to_numpy(zero_copy_only=False)
         known = ids.is_valid().to_numpy(zero_copy_only=False)
-        at = np.searchsorted(cuts, ids.fill_null(cuts[0]).to_numpy(zero_copy_only=False), "right")
-        return pa.array(np.where(known, at, 0), pa.int32())
-
-    return place("doc_id")
+        at = np.zeros(len(ids), np.int64)
+        if None in ties:
+            at[~known] = np.searchsorted(ties[None], tie[~known], "right")
+        named = ids.drop_null().to_numpy(zero_copy_only=False)
+        found = nameless + np.searchsorted(keys, named, "right")
+        own = tie[known]
+        hot = np.flatnonzero(np.isin(named, several))
+        for key in np.unique(named[hot]):
+            rows = hot[named[hot] == key]
+            found[rows] = (nameless + np.searchsorted(keys, key, "left")
+                           + np.searchsorted(ties[key.item()], own[rows], "right"))
+        at[known] = found
+        return pa.array(at, pa.int32())
+
+    return place("doc_id", "tie")
 
 
 def compare_versions(docs: DataFrame) -> DataFrame:
@@ -298,27 +334,35 @@ def compare_versions(docs: DataFrame) -> DataFrame:
     unlike (0) any other. With one row the next document is itself; an empty table gives an
     empty result; extra columns are left out.
 
-    Each range of doc_ids is sorted in one task, which reads it as a stream. A range also gets
-    the first row of the next range with rows, so texts move once and no task holds a range.
-    How to cut is decided from the ids alone; what reaches the driver is one id per range.
+    Each range of doc_ids is sorted in one task, which reads it as a stream; a doc_id that fills
+    several ranges is cut between its texts' hashes. A range also gets the first row of the next
+    range with rows, so texts move once and no task holds a range. How to cut is decided from the
+    ids alone, and texts are only read for it if an id is cut; what reaches the driver is one id
+    per range.
     """
     spark = docs.sparkSession
     cuts = _cuts(docs.select("doc_id"), partitions(spark))
-    ids = docs.select("doc_id", _range_of(cuts).alias("place"))
+    # Without an id to cut, ranges need no ties.
+    cut_ties = any(tie != LOWEST for _, tie in cuts)
+    by_text = F.xxhash64("text")
+    rows = texts(docs).withColumn("tie", by_text if cut_ties else F.lit(LOWEST).cast("long"))
+    ids = rows.select("doc_id", "tie", _range_of(cuts).alias("place"))
     found = ids.groupBy("place").agg(
-        F.min("doc_id").alias("low"), F.bool_or(F.col("doc_id").isNull()).alias("nameless")).collect()
+        F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "tie")).alias("low")
+    ).collect()
     # The first row of a range is also read by the range before it, that of the first by the last.
-    found = sorted((r["place"], None if r["nameless"] else r["low"]) for r in found)
+    found = sorted((r["place"], r["low"]["doc_id"], r["low"]["tie"]) for r in found)
     heads = spark.createDataFrame(
-        [(at, key, found[i - 1][0]) for i, (at, key) in enumerate(found)],
-        f"head_place int, head_id {key_type(docs)}, reader int")
-    is_head = (F.col("place") == F.col("head_place")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
+        [(at, key, tie, found[i - 1][0]) for i, (at, key, tie) in enumerate(found)],
+        f"head_place int, head_id {key_type(docs)}, head_tie long, reader int")
+    is_head = ((F.col("place") == F.col("head_place")) & (F.col("tie") == F.col("head_tie"))
+               & F.col("doc_id").eqNullSafe(F.col("head_id")))
     # One row per range: no more than there are shuffle partitions.
-    marked = texts(docs).withColumn("place", _range_of(cuts)).join(F.broadcast(heads), is_head, "left")
+    marked = rows.withColumn("place", _range_of(cuts)).join(F.broadcast(heads), is_head, "left")
     once = F.array(F.struct("place", F.lit(False).alias("extra")))
     twice = F.array(F.struct("place", F.lit(False).alias("extra")),
                     F.struct(F.col("reader").alias("place"), F.lit(True).alias("extra")))
-    spread = marked.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.inline(
+    spread = marked.select("doc_id", "text", by_text.alias("tie"), F.inline(
         F.when(F.col("reader").isNull(), once).otherwise(twice)))
     ranges = spread.repartitionById(len(cuts) + 1, F.col("place")).sortWithinPartitions(
         "place", "extra", "doc_id", "tie")

@@ -1,7 +1,9 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from astrolode.llm import fingerprints as fp
 
@@ -103,3 +105,23 @@ def test_insertion_moves_no_cut_far_behind_it():
     put = text[:9000] + "something else" + text[9000:]
     assert fp.likenesses([fp.digests(text)], [fp.digests(put)])[0] > 0.95
     assert fp.likenesses([fp.digests("a line before\n" + text)], [fp.digests(text)])[0] > 0.99
+
+
+def test_a_hot_id_spans_several_ranges(spark, docs_of, conf):
+    conf(shuffle__partitions="12")
+    rows = [(i, f"text {i}") for i in range(60)] + [(33, f"hot text {k} of many") for k in range(60)]
+    rows += [(None, f"nameless text {k}") for k in range(60)]
+    docs = docs_of(random.Random(1).sample(rows, len(rows))).repartition(4)
+    cuts = fp._cuts(docs.select("doc_id"), 12)
+    assert cuts == sorted(cuts, key=lambda c: (c[0] is not None, c[0] or 0, c[1]))
+    ties = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    placed = ties.withColumn("place", fp._range_of(cuts)).collect()
+    for r in placed:
+        mine = (r["doc_id"] is not None, r["doc_id"] or 0, r["tie"])
+        assert r["place"] == sum((k is not None, k or 0, t) <= mine for k, t in cuts)
+    for hot in (33, None):
+        sizes = Counter(r["place"] for r in placed if r["doc_id"] == hot)
+        assert len(sizes) >= 3 and max(sizes.values()) <= 40
+    ordered = sorted(placed, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["tie"]))
+    want = expected([(r["doc_id"], r["text"]) for r in ordered])
+    assert sorted(got(fp.compare_versions(docs)), key=str) == sorted(want, key=str)
