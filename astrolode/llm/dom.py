@@ -10,14 +10,14 @@ _NAMES = """
     address article aside blockquote body button caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html
     label legend li main menu nav ol option p pre search section select summary table tbody td
-    tfoot th thead title tr ul
+    tfoot th thead title tr ul xmp
 """
 BLOCKS = frozenset(_NAMES.split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Elements whose content is not markup; none of it is shown as text of the page.
+# Elements whose content is not markup; only that of xmp is shown as text of the page.
 RAW = frozenset("iframe noembed noframes script style template textarea title xmp".split())
 # Also not shown; the content is markup.
-HIDDEN = frozenset("head noscript object svg math canvas audio video datalist".split())
+HIDDEN = frozenset("head noscript svg canvas audio video datalist".split())
 _CLOSES_P = BLOCKS - frozenset("button label option body html head".split())
 # A new one ends an open one, unless an element of the second set stands between.
 _SIBLINGS = {
@@ -38,10 +38,11 @@ _MARKUP = re.compile(
     r"|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?>=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>)",
     re.DOTALL,
 )
+# Name by name, each with its whole value.
 _ATTRIBUTE = re.compile(
-    r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
-    re.IGNORECASE)
+    r"([^\s/=>][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _TOKEN = re.compile(r"[a-z]+")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)")
 
 
 @dataclass(frozen=True)
@@ -61,11 +62,9 @@ def _marks(attrs: str) -> tuple[tuple[str, ...], bool]:
         if name in ("class", "id", "role"):
             tokens += _TOKEN.findall(value)
         elif name == "style":
-            hidden |= "display:none" in value.replace(" ", "")
+            hidden |= _NOT_SHOWN.search(value) is not None
         elif name == "hidden":
             hidden = True
-        else:
-            hidden |= value == "true"
     return tuple(tokens), hidden
 
 
@@ -78,10 +77,10 @@ class _Page:
         self.link_chars = 0
         self.in_link = False
 
-    def text(self, raw: str) -> None:
+    def text(self, raw: str, plain: bool = False) -> None:
         if self.hidden or not raw:
             return
-        text = unescape(raw) if "&" in raw else raw
+        text = unescape(raw) if "&" in raw and not plain else raw
         self.parts.append(text)
         if self.in_link:
             self.link_chars += len(" ".join(text.split()))
@@ -160,9 +159,13 @@ def blocks(html: str) -> list[Block]:
             continue
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
-            at = end.end() if end else len(html)
-            if name in BLOCKS:
+            if name == "xmp":
+                page.start(name, found["attrs"])
+                page.text(html[at:end.start() if end else len(html)], plain=True)
+                page.end(name)
+            elif name in BLOCKS:
                 page.end_block()
+            at = end.end() if end else len(html)
         else:
             page.start(name, found["attrs"])
     page.text(html[at:])

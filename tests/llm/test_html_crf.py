@@ -96,3 +96,18 @@ def test_odd_rows(spark):
     assert by_id[1].startswith("Title <1>\nFirst para")
     none = spark.createDataFrame([], schema)
     assert crf.extract(none, crf.learn(none)).collect() == []
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<p title="a hidden gem">one</p><p data-hidden="false">two</p><p class=hidden>three</p>',
+     ["one", "two", "three"]),
+    ('<p title="x style=\'display:none\'">one</p><p alt=hidden>two</p><p data-style="display:none">x', ["one", "two", "x"]),
+    ('<div aria-hidden="true"><p>one</p></div><p aria-hidden=true>two', ["one", "two"]),
+    ('<p>a <math><mi>x</mi></math> b</p><object data="f"><p>instead</p></object>', ["a x b", "instead"]),
+    ("<p>one<xmp><b>two</b> &amp; 3</xmp>four", ["one", "<b>two</b> &amp; 3", "four"]),
+    ("<xmp hidden>no</xmp><xmp>to the end <p>", ["to the end <p>"]),
+    ('<p hidden>no</p><p HIDDEN="">no</p><p title="x"hidden>no</p><div style="color:red; display : none">no</div>yes', ["yes"]),
+    ('<p style="display:none !important">no</p><p style="x-display:none">yes', ["yes"]),
+])
+def test_only_what_is_not_shown_is_left_out(html, want):
+    assert [b.text for b in blocks(html)] == want
