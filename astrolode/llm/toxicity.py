@@ -33,7 +33,7 @@ CACHED_WORDS = 200_000
 
 @dataclass(frozen=True)
 class Fit:
-    """`max_toxic` and `max_unlabelled` bound the training sample (rows by a hash of doc_id)."""
+    """`max_toxic` and `max_unlabelled` bound the training sample (documents by a hash of doc_id)."""
 
     max_toxic: int = 3000
     max_unlabelled: int = 20_000
@@ -193,7 +193,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     Toxic examples are rows with the label 1; the unlabelled ones are drawn from all labelled
     rows without looking at their label, and the class prior is the toxic share of all of them.
     Rows without an id or a label are not used; of several labels of a document the largest
-    counts. Texts are turned into features where they lie; what reaches the driver is bounded
+    counts, of several texts the one with the smallest hash. Texts are turned into features where they lie; what reaches the driver is bounded
     by the sample sizes.
     """
     known = (
@@ -216,7 +216,10 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
                                   ["doc_id", "role", "slots"])
 
     # At most the two sample sizes of ids, so this side is small by construction.
-    sample = texts(docs).join(F.broadcast(chosen), "doc_id")
+    # A document counts once, however many rows it has; each task sends on one of them.
+    least = F.min(F.struct(F.xxhash64("text").alias("tie"), "text"))
+    sample = texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "role").agg(
+        least.alias("least")).select("doc_id", "role", "least.text")
     rows = written(
         sample.mapInArrow(run, f"doc_id {key_type(docs)}, role string, slots binary"), "features")
     use = _telling_slots(rows, fit)

@@ -70,3 +70,17 @@ def test_nothing_to_learn_from(toxic, unlabelled):
     rows = [[np.array(r, np.int32) for r in part] for part in (toxic, unlabelled)]
     weights, bias = toxicity.train(*rows, 0.1)
     assert not weights.any() and bias < 0
+
+
+def test_repeated_rows_count_once(spark, docs_of, monkeypatch):
+    rows = [(i, "you idiot trash" if i % 4 == 0 else f"the river and stone {i}") for i in range(80)]
+    hot = [next(i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2 and i % 4 == k) for k in (0, 1)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    taught = []
+    real = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda a, b, *rest: taught.append((len(a), len(b))) or real(a, b, *rest))
+    once = toxicity.learn(docs_of(rows), labels)
+    again = toxicity.learn(docs_of(rows + [r for r in rows if r[0] in hot] * 300).repartition(5), labels)
+    assert taught[0] == taught[1] and once == again and once.weights
+    toxicity.learn(docs_of(rows + [(hot[0], f"text {k}") for k in range(300)]).repartition(5), labels)
+    assert taught[2] == taught[0]
