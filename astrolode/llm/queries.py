@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from astrolode.llm import (
     bpe,
+    decontamination,
     exact_dedup,
     fingerprints,
     html_crf,
@@ -80,10 +81,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), SITE_RULES + WORD_RULES)
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
         op1_bpe, op2_html_crf, op3_exact_dedup, op4_toxicity, op5_fingerprints, op6_simhash,
-        op7_sharding, op8_packing, op9_lm_score, op10_url_filter)
+        op7_sharding, op8_packing, op9_lm_score, op10_url_filter, op13_decontamination)
 }
 
 ORACLES = {
@@ -118,4 +129,29 @@ ORACLES = {
           WHEN regexp_matches(host, '(^|[^a-z0-9])(casino|poker|betting)([^a-z0-9]|$)') THEN 'block'
           ELSE 'allow' END AS verdict
         FROM v""",
+    "op13_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM benchmark),
+        bw AS (
+          SELECT DISTINCT item_id, size, list_aggregate(t[i:i + size - 1], 'string_agg', ' ') AS w
+          FROM (SELECT item_id, t, size, unnest(range(1, len(t) - size + 2)) AS i
+                FROM (SELECT *, least(len(t), 10) AS size FROM b WHERE len(t) > 0))),
+        dw AS (
+          SELECT doc_id, i, size, list_aggregate(t[i:i + size - 1], 'string_agg', ' ') AS w
+          FROM (SELECT doc_id, t, size, unnest(range(1, len(t) - size + 2)) AS i
+                FROM d, (SELECT DISTINCT size FROM bw))),
+        hits AS (SELECT doc_id, i, size, item_id FROM dw JOIN bw USING (size, w)),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+            SELECT doc_id, unnest(range(i, i + size)) AS p FROM (
+              SELECT DISTINCT doc_id, i, size FROM hits)) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (
+            SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(t) AS BIGINT) AS n_words,
+          CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(its.n, 0) AS BIGINT) AS n_items,
+          sha256(coalesce(its.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
 }
