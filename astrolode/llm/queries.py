@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astrolode.llm import (
@@ -16,6 +16,7 @@ from astrolode.llm import (
     html_crf,
     lm_score,
     packing,
+    runs,
     sharding,
     simhash,
     toxicity,
@@ -81,6 +82,43 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), SITE_RULES + WORD_RULES)
 
 
+def _whole(value: Column, by: Column | int) -> Column:
+    """Whole-number division of numbers that are not negative."""
+    return ((value - value % by) / by).cast("long")
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """`doc_id` and `text`; where h, the CRC-32 of the id, is a multiple of 10, the words from a on
+    repeat the first p of them, for a and p that follow from h."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    chosen = docs.select("doc_id", "text", _whole(h, 10).alias("g"),
+                         F.when(h % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.col("g")
+    cut = chosen.withColumn("n", n).withColumn("a", F.when(n > 0, (g % n).cast("int")))
+    a = F.col("a")
+    p = (1 + _whole(F.col("n") - a, 3 + g % 8)).cast("int")
+    repeated = F.transform(F.sequence(a, F.col("n") - 1), lambda i: F.get(
+        "words", F.col("a") + (i - F.col("a")) % F.col("p")))
+    edited = F.concat_ws(" ", F.concat(F.slice("words", F.lit(1), a), repeated))
+    return cut.withColumn("p", p).select(
+        "doc_id", F.when(a.isNotNull(), edited).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse(with_repeats(table(spark, sf_dir, "documents")))
+    # The run with the greatest length / period, compared exactly; the first one of equals.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, run: F.when(
+        run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        _whole(1000 * F.col("best.length"), F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -94,7 +132,7 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
         op1_bpe, op2_html_crf, op3_exact_dedup, op4_toxicity, op5_fingerprints, op6_simhash,
-        op7_sharding, op8_packing, op9_lm_score, op10_url_filter, op13_decontamination)
+        op7_sharding, op8_packing, op9_lm_score, op10_url_filter, op11_runs, op13_decontamination)
 }
 
 ORACLES = {
@@ -129,6 +167,45 @@ ORACLES = {
           WHEN regexp_matches(host, '(^|[^a-z0-9])(casino|poker|betting)([^a-z0-9]|$)') THEN 'block'
           ELSE 'allow' END AS verdict
         FROM v""",
+    "op11_runs": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS row, doc_id,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS t,
+            xor(4294967295, list_reduce(
+              list_prepend(4294967295::BIGINT, list_transform(
+                string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+              lambda crc, byte: list_reduce(
+                list_prepend(xor(crc, byte), range(8)),
+                lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) AS h
+          FROM documents),
+        e AS (SELECT *, len(t) AS n, CASE WHEN h % 10 = 0 AND len(t) > 0 THEN (h // 10) % len(t) END AS a
+              FROM d),
+        x AS (SELECT row, doc_id, n, CASE WHEN a IS NULL THEN t ELSE list_transform(range(n), lambda i:
+                t[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END + 1])
+              END AS t FROM e),
+        w AS (SELECT row, n, i, t[i + 1] AS word FROM (
+              SELECT *, unnest(range(n)) AS i FROM x)),
+        same AS (SELECT l.row, r.i - l.i AS q, l.i FROM w l JOIN w r
+                 ON l.row = r.row AND l.word = r.word AND l.i < r.i AND (r.i - l.i) * 4 <= l.n),
+        grouped AS (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS part FROM same),
+        stretch AS (SELECT row, min(i) AS s, count(*) + q AS len, q FROM grouped GROUP BY row, q, part
+                    HAVING count(*) + q >= greatest(6, 4 * q)),
+        run AS (SELECT * FROM stretch a WHERE NOT EXISTS (
+                SELECT 1 FROM stretch b WHERE a.row = b.row AND b.q < a.q AND b.s <= a.s
+                  AND b.s + b.len >= a.s + a.len)),
+        listed AS (SELECT row, count(*) AS n_runs,
+            string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+            first(s ORDER BY len::DECIMAL(38, 0) * 1000000000 // q DESC, s, q) AS start,
+            first(len ORDER BY len::DECIMAL(38, 0) * 1000000000 // q DESC, s, q) AS length,
+            first(q ORDER BY len::DECIMAL(38, 0) * 1000000000 // q DESC, s, q) AS period
+          FROM run GROUP BY row),
+        gone AS (SELECT DISTINCT row, unnest(range(s + q, s + len)) AS i FROM run),
+        kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM w
+                 ANTI JOIN gone USING (row, i) GROUP BY row)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+          1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+          sha256(coalesce(text, '')) AS collapsed_sha256
+        FROM x LEFT JOIN listed USING (row) LEFT JOIN kept USING (row)""",
     "op13_decontamination": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

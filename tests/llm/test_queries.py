@@ -25,6 +25,7 @@ COLUMNS = {
     "op8": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9": "doc_id n_tokens target_loss background_loss difference",
     "op10": "page_id host path rule verdict",
+    "op11": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "op13": "doc_id n_words n_hit n_items items_sha256 contaminated",
 }
 
