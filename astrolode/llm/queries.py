@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astrolode.llm import (
+    alignment,
     bpe,
     decontamination,
     exact_dedup,
@@ -27,6 +28,8 @@ from astrolode.llm.common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 SITE_RULES = [
     url_filter.site_rule(url_filter.BLOCK, "net/"),
@@ -119,6 +122,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.statistics(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -132,7 +139,8 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (
         op1_bpe, op2_html_crf, op3_exact_dedup, op4_toxicity, op5_fingerprints, op6_simhash,
-        op7_sharding, op8_packing, op9_lm_score, op10_url_filter, op11_runs, op13_decontamination)
+        op7_sharding, op8_packing, op9_lm_score, op10_url_filter, op11_runs, op12_alignment,
+        op13_decontamination)
 }
 
 ORACLES = {

@@ -26,6 +26,7 @@ COLUMNS = {
     "op9": "doc_id n_tokens target_loss background_loss difference",
     "op10": "page_id host path rule verdict",
     "op11": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op12": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op13": "doc_id n_words n_hit n_items items_sha256 contaminated",
 }
 
