@@ -157,19 +157,20 @@ class Encoders:
         plain = pc.and_(pc.not_equal(some, ""), pc.invert(pc.match_substring_regex(some, _WHOLE)))
         if not self._by_word:
             plain = pc.and_(plain, False)
-        whole = np.flatnonzero(~plain.to_numpy(zero_copy_only=False)).tolist()
-        split = pc.split_pattern(pc.if_else(plain, some, pa.scalar(None, pa.large_string())), " ")
+        mask = plain.to_numpy(zero_copy_only=False)
+        by_words, whole = np.flatnonzero(mask), np.flatnonzero(~mask)
+        split = pc.split_pattern(some.filter(plain), " ")
         coded = split.flatten().dictionary_encode()
         places = coded.indices.to_numpy()
         often = np.bincount(places, minlength=len(coded.dictionary)) > 1
         by_word = self._of_words(coded.dictionary.to_pylist(), often.tolist())
-        alone = self._of_texts(some.take(pa.array(whole, pa.int64())).to_pylist())
+        alone = self._of_texts(some.take(pa.array(whole)).to_pylist())
         starts = split.offsets.to_numpy()
         # A word that is not encoded right spoils the whole of its text.
         bad = np.zeros(len(some), bool)
         if not all(by_word[0]):
             spoilt = np.array([not x for x in by_word[0]])
-            bad[np.searchsorted(starts, np.flatnonzero(spoilt[places]), "right") - 1] = True
+            bad[by_words[np.searchsorted(starts, np.flatnonzero(spoilt[places]), "right") - 1]] = True
         sides = []
         for of_words, of_whole, length in zip(by_word, alone, (self.length_a, self.length_b), strict=True):
             # The words' ids one after another, taken by the place of each word.
@@ -180,12 +181,14 @@ class Encoders:
             first = (np.cumsum(sizes) - sizes)[places] - ends[:-1]
             flat = table[np.repeat(first, taken) + np.arange(ends[-1])]
             at = ends[starts]
-            parts, counts, done = [], np.diff(at), 0
-            for i, x in zip(whole, of_whole, strict=True):
+            counts = np.zeros(len(some), np.int64)
+            counts[by_words] = np.diff(at)
+            parts, done = [], 0
+            for i, before, x in zip(whole, np.searchsorted(by_words, whole), of_whole, strict=True):
                 own = np.frombuffer(x, np.uint16)
-                parts += [flat[at[done]:at[i]], own]
-                counts[i], done = len(own), i + 1
-            ids = np.concatenate([*parts, flat[at[done]:]]) if whole else flat
+                parts += [flat[at[done]:at[before]], own]
+                counts[i], done = len(own), before
+            ids = np.concatenate([*parts, flat[at[done]:]]) if parts else flat
             if bad.any():
                 ids, counts = ids[np.repeat(~bad, counts)], np.where(bad, 0, counts)
             sides.append((ids, counts, np.cumsum(length[ids])))

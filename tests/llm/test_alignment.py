@@ -36,7 +36,8 @@ class Brute:
     def align(self, text):
         a, b, ends_a, ends_b = self.tokens(text or "")
         cuts = sorted(set(ends_a) & set(ends_b))
-        last_a, last_b = [ends_a.index(c) + 1 for c in cuts], [ends_b.index(c) + 1 for c in cuts]
+        at_a, at_b = ({end: k for k, end in enumerate(ends, 1)} for ends in (ends_a, ends_b))
+        last_a, last_b = [at_a[c] for c in cuts], [at_b[c] for c in cuts]
         groups = ";".join(
             ",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m]))
             for (i, j), (k, m) in zip(itertools.pairwise([0, *last_a]), itertools.pairwise([0, *last_b]), strict=True))
@@ -142,3 +143,13 @@ def test_words_stand_alone_with_these_files():
     texts = pa.array(["one two one", "one  two", "", None, "two"])
     found = both.encode(texts.fill_null(""))
     assert found.counts_a.tolist()[2:4] == [0, 0] and found.counts_a[0] == 3
+
+
+def test_part_of_an_array(odd_rows, brute):
+    texts = [t or "" for _, t in odd_texts(odd_rows)]
+    both = alignment.Encoders(BYTE_BPE, PIECE_BPE)
+    found = both.encode(pa.array([*texts, *texts]).slice(len(texts) - 10, len(texts)))
+    want = [brute.tokens(t) for t in (texts[-10:] + texts[:-10])]
+    assert found.a.tolist() == [x for w in want for x in w[0]]
+    assert found.b.tolist() == [x for w in want for x in w[1]]
+    assert found.counts_a.tolist() == [len(w[0]) for w in want]
