@@ -46,7 +46,7 @@ CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
 # Bytes of text that are aligned together (plus at most one text), and links of a chunk of texts
 # that share the counts sent to them.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 CHUNK_LINKS = 1 << 22
 ROWS = 1 << 18
 
