@@ -27,7 +27,6 @@ from astrolode.llm.bpe import CHUNK_CHARS, vocabulary
 from astrolode.llm.common import gathered, key_type, texts, written
 
 TOKENS = 1 << 16
-SLOT_BITS = 21
 START = TOKENS - 1  # an id that no 16-bit vocabulary file of fewer tokens uses
 # Tokens of a piece of a text, and of a chunk (plus at most one piece).
 PIECE_TOKENS = 1 << 20
@@ -44,12 +43,6 @@ class Smoothing:
     token: float = 0.1
 
 
-def slots(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """A slot of each pair of tokens, for tables of a fixed size. No count of this module uses it."""
-    mixed = (first * 0x9E3779B1 + second * 0x85EBCA77) & 0xFFFFFFFF
-    return (mixed ^ (mixed >> 15)) * 0x2C1B3C6D % (1 << 32) >> (32 - SLOT_BITS)
-
-
 def pairs(texts: list[bytes], size: int = 1 << 20, before: list[int] | None = None
           ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Every token of the texts, with its text's number and the token before it (first: that of

@@ -22,7 +22,7 @@ def brute(rows, targets, smoothing):
             for a, b in zip([lm_score.START, *x], x, strict=False):
                 token[b] += 1
                 context[a] += 1
-                pair[int(lm_score.slots(np.array([a]), np.array([b]))[0])] += 1
+                pair[a, b] += 1
         models.append((token, pair, context, sum(token.values())))
     out = []
     for (i, _), x in zip(rows, ids, strict=True):
@@ -31,8 +31,7 @@ def brute(rows, targets, smoothing):
             loss = 0.0
             for a, b in zip([lm_score.START, *x], x, strict=False):
                 alone = (token[b] + smoothing.token) / (total + smoothing.token * lm_score.TOKENS)
-                s = int(lm_score.slots(np.array([a]), np.array([b]))[0])
-                loss -= math.log((pair[s] + smoothing.context * alone) / (context[a] + smoothing.context))
+                loss -= math.log((pair[a, b] + smoothing.context * alone) / (context[a] + smoothing.context))
             losses.append(loss / len(x) if x else None)
         out.append((str(i), len(x), *losses))
     return sorted(out, key=lambda r: (r[0], r[1], r[2] or 0))
@@ -66,13 +65,6 @@ def test_tells_good_from_poor_text_it_has_not_seen(spark):
     assert (rank[good].sum() - n * (n + 1) / 2) / (n * (len(rows) - n)) > 0.95
 
 
-def test_slots_spread():
-    a, b = np.divmod(np.arange(200_000), 447)
-    found = lm_score.slots(a, b)
-    assert found.min() >= 0 and found.max() < 1 << lm_score.SLOT_BITS
-    assert len(np.unique(found)) > 185_000
-
-
 def test_long_texts_come_in_pieces():
     rng = np.random.default_rng(1)
     texts = [rng.integers(0, 49_000, n).astype("<u2").tobytes() for n in (0, 5, 1000, 1, 0, 250)]
@@ -83,48 +75,20 @@ def test_long_texts_come_in_pieces():
     assert list(lm_score.pairs([])) == [] and list(lm_score.pairs([b""])) == []
 
 
-def exact(rows, targets, smoothing):
-    """As `brute`, with every pair counted by itself."""
-    library = Tokenizer.from_file(PATH)
-    ids = [library.encode(t, add_special_tokens=False).ids for _, t in rows]
-    models = []
-    for chosen in ([x for (i, _), x in zip(rows, ids, strict=True) if i in targets], ids):
-        token, pair, context = Counter(), Counter(), Counter()
-        for x in chosen:
-            token.update(x)
-            context.update([lm_score.START, *x[:-1]] if x else [])
-            pair.update(zip([lm_score.START, *x], x, strict=False))
-        models.append((token, pair, context, sum(token.values())))
-    out = {}
-    for (i, _), x in zip(rows, ids, strict=True):
-        losses = []
-        for token, pair, context, total in models:
-            loss = 0.0
-            for a, b in zip([lm_score.START, *x], x, strict=False):
-                alone = (token[b] + smoothing.token) / (total + smoothing.token * lm_score.TOKENS)
-                loss -= math.log((pair[a, b] + smoothing.context * alone) / (context[a] + smoothing.context))
-            losses.append(loss / len(x))
-        out[i] = len(x), *losses
-    return out
-
-
-def test_pairs_that_share_a_slot_are_told_apart(spark, docs_of):
+def test_many_different_pairs(spark, docs_of):
     library = Tokenizer.from_file(PATH)
     rng = np.random.default_rng(2)
     some = [w for w in (library.decode([int(i)]).strip() for i in rng.integers(1000, 49_000, 9000))
             if w.isascii() and w.isalpha()]
     rows = [(i, " ".join(rng.choice(some, 2000))) for i in range(60)]
-    ids = [library.encode(t, add_special_tokens=False).ids for _, t in rows]
-    met = {(a, b) for x in ids for a, b in zip(x, x[1:], strict=False)}
-    assert len(set(lm_score.slots(*np.array(sorted(met)).T).tolist())) < len(met) - 500
     smoothing = lm_score.Smoothing(0.5, 0.5)
     targets = set(range(0, 60, 7))
     frame = spark.createDataFrame([(i,) for i in targets], "doc_id long")
-    want = exact(rows, targets, smoothing)
+    want = {i: values for i, *values in brute(rows, targets, smoothing)}
     got = lm_score.score(docs_of(rows).repartition(3), frame, PATH, smoothing).collect()
     assert len(got) == len(rows)
     for r in got:
-        n, target, background = want[r["doc_id"]]
+        n, target, background = want[str(r["doc_id"])]
         assert r["n_tokens"] == n
         assert (r["target_loss"], r["background_loss"]) == pytest.approx((target, background), rel=1e-9)
 
