@@ -53,6 +53,26 @@ def ledger_path(bronze: str) -> str:
     return f"{bronze.rstrip('/')}/_ledger"
 
 
+def committed(bronze: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """The rows of finished appends, without their numbers.
+
+    Appends are entered in the ledger one after another, so all up to its last number are
+    finished, and a later folder belongs to an append that still runs or was cut off. The number
+    is a partition column: such a folder is pruned, not read. A table that is not written in
+    appends (by the stream, for example) is returned as it is.
+    """
+    if APPEND not in bronze.columns:
+        return bronze
+    if ledger is None:
+        return bronze.filter(F.lit(False)).drop(APPEND)
+    return bronze.filter(F.col(APPEND) <= ledger.agg(F.max(APPEND)).scalar()).drop(APPEND)
+
+
+def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
+    """A bronze table as of its last finished append."""
+    return committed(spark.read.parquet(bronze), or_none(lambda: spark.read.parquet(ledger_path(bronze))))
+
+
 def new_files(spark: SparkSession, landing: str, bronze: str) -> DataFrame | None:
     """Landed files not yet taken in, and the next append's number; None if nothing has landed.
 

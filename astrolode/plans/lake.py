@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from astrolode.spec import APPEND
+from astrolode.operators.ingest import read_bronze
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -27,7 +27,9 @@ class Lake:
         return f"{self.base.rstrip('/')}/{layer}/{name}"
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(layer, table)).drop(APPEND)
+        """A layer table; of bronze only what finished appends brought."""
+        path = self.path(layer, table)
+        return read_bronze(spark, path) if layer == BRONZE else spark.read.parquet(path)
 
     def read_layer(self, spark: SparkSession, layer: str, tables) -> dict[str, DataFrame]:
         return {table: self.read(spark, layer, table) for table in tables}

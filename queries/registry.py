@@ -17,6 +17,7 @@ from astrolode.plans.lake import BRONZE, GOLD, SILVER, Lake
 from astrolode.session import apply_defaults, run_each, shared_dir
 from astrolode.sources import files, sinks
 from astrolode.spec import (
+    APPEND,
     CATALOG,
     CORRUPT_RECORD,
     DATE_TIME_FORMAT,
@@ -519,6 +520,18 @@ def ing_run_counts(spark, sf_dir):
     return spark.createDataFrame(rows, "run INT, status STRING, new_rows BIGINT")
 
 
+@query("""
+    SELECT * EXCLUDE (source_file) FROM raw_orders WHERE source_file IN ('batch_0', 'batch_3')
+""")
+def ing_committed_reads(spark, sf_dir):
+    """Bronze while a second append has written its rows but not yet entered its files."""
+    orders, lake = raw.table(spark, sf_dir, "orders"), _lake(spark)
+    spec = _landed(orders.filter(_EARLY), "orders", lake, "early")
+    jobs.landing_to_bronze(spark, lake, {"orders": spec})
+    sinks.overwrite_parquet(orders.filter(_LATE), f"{lake.path(BRONZE, 'orders')}/{APPEND}=1")
+    return business(lake.read(spark, BRONZE, "orders"), CORRUPT_RECORD, UNDECLARED)
+
+
 @query("SELECT * FROM raw_orders WHERE source_file NOT IN ('batch_0', 'batch_3')")
 def ing_unseen_rows(spark, sf_dir):
     orders = raw.table(spark, sf_dir, "orders")

@@ -5,7 +5,14 @@ from pathlib import Path
 import pytest
 
 from astrolode.operators import ingest
-from astrolode.operators.ingest import ingest_all, ingest_table, new_files, total_new_rows, unseen_rows
+from astrolode.operators.ingest import (
+    ingest_all,
+    ingest_table,
+    new_files,
+    read_bronze,
+    total_new_rows,
+    unseen_rows,
+)
 from astrolode.sources.files import or_none
 from astrolode.spec import CATALOG, TableSpec
 
@@ -103,9 +110,41 @@ def test_an_append_that_was_cut_off_is_done_again(spark, zone, monkeypatch):
                       if sys._getframe(1).f_code.co_name == "_append" else f"{bronze}/_ledger")
         with pytest.raises(OSError):
             run(spark, zone)
+    assert spark.read.parquet(zone[1]).count() == 2
+    assert [r.id for r in read_bronze(spark, zone[1]).collect()] == [1]
     land(zone[0], "things_0.json", [{"id": 3}])
     assert run(spark, zone) == ("ingested", 2)
     assert sorted(r.id for r in spark.read.parquet(zone[1]).collect()) == [1, 2, 3]
+    assert sorted(r.id for r in read_bronze(spark, zone[1]).collect()) == [1, 2, 3]
+
+
+def plant_append(spark, zone, number):
+    """What an append that never finished has left behind."""
+    spark.read.parquet(zone[1]).drop("append_number").write.parquet(f"{zone[1]}/append_number={number}")
+
+
+def test_unfinished_appends_are_pruned_not_read(spark, zone):
+    land(zone[0], "things_a.json", [{"id": 1}, {"id": 2}])
+    run(spark, zone)
+    plant_append(spark, zone, 1)
+    for file in Path(zone[1]).glob("append_number=1/*.parquet"):
+        file.write_bytes(b"half a file")
+    for crc in Path(zone[1]).glob("append_number=1/.*.crc"):
+        crc.unlink()
+    schema = spark.read.parquet(f"{zone[1]}/append_number=0").schema.add("append_number", "integer")
+    ledger = spark.read.parquet(f"{zone[1]}/_ledger")
+    rows = ingest.committed(spark.read.schema(schema).parquet(zone[1]), ledger)
+    assert sorted(r.id for r in rows.collect()) == [1, 2] and rows.count() == 2
+    assert "append_number" not in rows.columns
+
+
+def test_a_first_append_that_never_finished_shows_no_rows(spark, zone):
+    land(zone[0], "things_a.json", [{"id": 1}])
+    run(spark, zone)
+    rows = ingest.committed(spark.read.parquet(zone[1]), None)
+    assert rows.isEmpty() and "id" in rows.columns
+    plain = spark.range(3)
+    assert ingest.committed(plain, None) is plain
 
 
 def test_a_run_with_nothing_new_opens_no_data(spark, zone):
