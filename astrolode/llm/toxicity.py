@@ -9,13 +9,19 @@ where the bracket is the risk on clean text, corrected for the toxic share of th
 where a step would push it below zero, the step goes the other way for that part. With the
 logistic loss the score estimates the probability of the label.
 
-A document's features are its different words and their beginnings, hashed to a fixed number of
-weights, so that the model has a fixed size and a score is a sum over the words of a text.
+A document's features are its different words and their beginnings of several lengths, hashed to a
+fixed number of weights, so that the model has a fixed size and a score is a sum over the words of
+a text. A feature counts by the logarithm of how many different words have it: many words of a
+stem tell more than one, and very long texts do not run away.
+
+Batches are large, as the risk on clean text is a difference of two estimates: in small ones it
+falls below zero by chance, and the steps taken back then keep the weights too low.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 from astrolode.llm.common import key_type, texts, written
 
 BITS = 18
-STEM = 6
+STEMS = (3, 4, 5, 6)
 EDGES = ".,;:!?\"'()[]|*#$%&<>"
 CACHED_WORDS = 200_000
 
@@ -37,8 +43,8 @@ class Fit:
 
     max_toxic: int = 3000
     max_unlabelled: int = 20_000
-    epochs: int = 60
-    batch: int = 256
+    epochs: int = 200
+    batch: int = 1024
     rate: float = 0.1
     decay: float = 1e-4
     floor: float = 0.0
@@ -52,14 +58,22 @@ def words_of(text: str) -> set[str]:
     return {w.strip(EDGES) for w in set(text.lower().split())}
 
 
-def _slots(word: str) -> tuple[int, int]:
+def _slots(word: str) -> tuple[int, ...]:
+    """The slots of a word and of its beginnings, each once."""
     mask = (1 << BITS) - 1
-    return (zlib.crc32(word.encode()) & mask, zlib.crc32(b"^" + word[:STEM].encode()) & mask)
+    stems = {zlib.crc32(b"^" + word[:n].encode()) & mask for n in STEMS}
+    return tuple(sorted(stems | {zlib.crc32(word.encode()) & mask}))
+
+
+def _times(words: int) -> int:
+    """How often a feature counts that so many different words have: 1 of one, 2 of two, 3 of four."""
+    return words.bit_length()
 
 
 def features(text: str) -> np.ndarray:
-    """The slots of a text's features, each once."""
-    return np.array(sorted({s for w in words_of(text) if w for s in _slots(w)}), np.int32)
+    """The slots of a text's features, each as often as it counts."""
+    found = Counter(s for w in words_of(text) if w for s in _slots(w))
+    return np.array(sorted(s for s, n in found.items() for _ in range(_times(n))), np.int32)
 
 
 def telling(found: np.ndarray, toxic: int, among: np.ndarray, unlabelled: int, fit: Fit) -> np.ndarray:
@@ -145,7 +159,8 @@ class Model:
     def scores(self, batch: list[str], cache: dict[str, tuple[int, ...]]) -> np.ndarray:
         logits = np.full(len(batch), self.bias)
         for i, text in enumerate(batch):
-            held: set[int] = set()
+            held: Counter[int] = Counter()
+            seen: set[str] = set()
             for raw in set(text.lower().split()):
                 slots = cache.get(raw)
                 if slots is None:
@@ -153,9 +168,10 @@ class Model:
                     slots = tuple(s for s in _slots(word) if s in self.weights) if word else ()
                     if len(cache) < CACHED_WORDS:
                         cache[raw] = slots
-                if slots:
+                if slots and (word := raw.strip(EDGES)) not in seen:
+                    seen.add(word)
                     held.update(slots)
-            logits[i] += sum(self.weights[s] for s in sorted(held))
+            logits[i] += sum(self.weights[s] * _times(n) for s, n in sorted(held.items()))
         return _sigmoid(logits)
 
 
@@ -166,7 +182,7 @@ def _telling_slots(rows: DataFrame, fit: Fit) -> np.ndarray:
         for batch in batches:
             for role, slots in zip(batch["role"].to_pylist(), batch["slots"].to_pylist(), strict=True):
                 held = sums.setdefault(role, np.zeros(1 << BITS, np.int64))
-                held[np.frombuffer(slots, np.int32)] += 1
+                held[np.unique(np.frombuffer(slots, np.int32))] += 1
                 texts_[role] = texts_.get(role, 0) + 1
         for role, held in sums.items():
             at = np.flatnonzero(held)  # slot -1 counts the texts
