@@ -95,17 +95,19 @@ def screen(digests: DataFrame, snapshot_filters: DataFrame, ranges: int) -> Data
 def same_bytes(positives: DataFrame, incoming: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Groups of the incoming batch and of the snapshot that hold the same text, byte by byte.
 
-    The digests meet first, without texts; only groups they name bring theirs.
+    The digests meet first, without texts; only groups they name bring theirs. `joint_old` says
+    which side holds the row that stays: the snapshot if it has the smallest doc_id, too.
     """
     met = snapshot.select("digest", "tag").join(positives, "digest", "left_semi")
     met = written(met.select("tag").distinct(), "met")
     new = incoming.join(met, "tag", "left_semi").alias("new")
     old = snapshot.join(met, "tag", "left_semi").alias("old")
     equal = (F.col("new.digest") == F.col("old.digest")) & (F.col("new.norm") == F.col("old.norm"))
+    least = F.least("new.keep_id", "old.keep_id")
     return new.join(old, equal).select(
-        "new.digest", "new.tag",
-        F.least("new.keep_id", "old.keep_id").alias("joint_keep"),
+        "new.digest", "new.tag", least.alias("joint_keep"),
         (F.col("new.group_size") + F.col("old.group_size")).alias("joint_size"),
+        F.col("old.keep_id").eqNullSafe(least).alias("joint_old"),
     )
 
 
@@ -123,24 +125,27 @@ def dedup(docs: DataFrame, digest=digest_of) -> DataFrame:
 
 
 def _dedup(rows: DataFrame) -> DataFrame:
-    addresses = written(with_row(rows.drop("norm")), "addresses")
+    side = F.col("batch") == 0
+    addresses = written(with_row(rows.drop("norm").withColumn("old", side)), "addresses")
     snapshot = written(group_batch(rows.filter("batch = 0")), "snapshot")
     incoming = written(group_batch(rows.filter("batch <> 0")), "incoming")
     ranges = max(1, math.ceil(snapshot.count() / FILTER_KEYS))
     positives = screen(incoming, filters(snapshot, ranges), ranges)
     joint = written(same_bytes(positives, incoming, snapshot), "joint")
-    # Only settles which of several rows with the smallest doc_id stays.
-    first = addresses.groupBy(*_GROUP).agg(
+    # Only settles which of several rows with the smallest doc_id stays, if its side is to hold it.
+    first = addresses.groupBy(*_GROUP, "old").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("first"))
     group = (
         snapshot.select(*_GROUP, "keep_id", "group_size", F.lit(True).alias("old"))
         .unionByName(incoming.select(*_GROUP, "keep_id", "group_size", F.lit(False).alias("old")))
-        .join(joint, _GROUP, "left").join(first, _GROUP)
+        .join(joint, _GROUP, "left").join(first, [*_GROUP, "old"])
         .select(*_GROUP, "old", "first", F.coalesce("joint_keep", "keep_id").alias("keep_id"),
-                F.coalesce("joint_size", "group_size").alias("group_size"))
+                F.coalesce("joint_size", "group_size").alias("group_size"),
+                F.coalesce(F.col("joint_old") == F.col("old"), F.lit(True)).alias("holds"))
     )
-    found = addresses.withColumn("old", F.col("batch") == 0).join(group, [*_GROUP, "old"])
-    return found.withColumn("kept", F.col("_row") == F.col("first"))
+    stays = F.col("holds") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    return addresses.join(group, [*_GROUP, "old"]).withColumn(
+        "kept", stays & (F.col("_row") == F.col("first")))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:

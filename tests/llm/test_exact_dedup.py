@@ -48,6 +48,17 @@ def test_all_columns_of_kept_documents(odd_docs, odd_rows):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == want
 
 
+def test_what_stays_follows_from_the_bytes_compared(docs_of, monkeypatch):
+    docs = docs_of([(i, f"text {i % 3}") for i in range(60)] + [(0, "text 0"), (None, "text 1")])
+    kept = exact_dedup.kept_documents(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2]
+    same_bytes = exact_dedup.same_bytes
+    monkeypatch.setattr(exact_dedup, "same_bytes", lambda *given: same_bytes(*given).limit(0))
+    apart = exact_dedup.kept_documents(docs).collect()
+    assert len(apart) == 6  # one of each text in the snapshot and one in the batch
+    assert sorted(r["text"] for r in apart) == sorted(f"text {i}" for i in (0, 1, 2) * 2)
+
+
 def test_filter_holds_its_keys_and_few_others():
     rng = np.random.default_rng(1)
     for count in (0, 1, 2, 3, 10, 1000, 50_000):
