@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from astrolode.functions.provenance import FILE_PATH, stamp_ingest_time
-from astrolode.session import run_each
+from astrolode.session import run_each, shared_dir
 from astrolode.sources.files import landing_schema, or_none, read_landing
 from astrolode.sources.sinks import overwrite_parquet
 from astrolode.spec import APPEND, CATALOG, SOURCE_FILE, TableSpec
@@ -33,10 +33,20 @@ class IngestResult:
 
 
 def unseen_rows(rows: DataFrame, bronze: DataFrame | None) -> DataFrame:
-    """Rows whose `source_file` bronze does not hold yet (an anti-join on distinct files)."""
+    """Rows whose `source_file` bronze does not hold yet (an anti-join on distinct files).
+
+    The files are written first: by the size of bronze they look large, and all rows would be
+    shuffled by file, a few files' rows into one task. Their true size lets Spark broadcast them.
+    """
     if bronze is None or SOURCE_FILE not in bronze.columns:
         return rows
-    return rows.join(bronze.select(SOURCE_FILE).distinct(), SOURCE_FILE, "left_anti")
+    held, path = bronze.select(SOURCE_FILE).distinct(), shared_dir(bronze.sparkSession, "held_files")
+    held.write.parquet(path)
+    return _not_among(rows, rows.sparkSession.read.schema(held.schema).parquet(path))
+
+
+def _not_among(rows: DataFrame, files: DataFrame) -> DataFrame:
+    return rows.join(files, SOURCE_FILE, "left_anti")
 
 
 def _listing_session(spark: SparkSession) -> SparkSession:
@@ -85,8 +95,10 @@ def new_files(spark: SparkSession, landing: str, bronze: str) -> DataFrame | Non
         return None
     names = landed.select(F.col(FILE_PATH).alias(SOURCE_FILE))
     ledger = or_none(lambda: session.read.parquet(ledger_path(bronze)))
-    number = F.lit(0) if ledger is None else ledger.agg(F.max(APPEND) + 1).scalar()
-    return unseen_rows(names, ledger).withColumn("number", number.cast("int"))
+    if ledger is None:
+        return names.withColumn("number", F.lit(0))
+    fresh = _not_among(names, ledger.select(SOURCE_FILE).distinct())
+    return fresh.withColumn("number", ledger.agg(F.max(APPEND) + 1).scalar().cast("int"))
 
 
 def _literal_path(uri: str) -> str:

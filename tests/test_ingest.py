@@ -169,6 +169,15 @@ def test_unseen_rows(spark):
     assert unseen_rows(rows, seen.withColumnRenamed("source_file", "x")).count() == 4
 
 
+def test_unseen_rows_are_not_shuffled_by_file(spark, plan_of):
+    rows = spark.createDataFrame(
+        [(i, None if i % 9 == 0 else f"f{i % 5}") for i in range(500)], "id INT, source_file STRING")
+    left = unseen_rows(rows, rows.filter("source_file IN ('f0', 'f3')"))
+    assert {r.id for r in left.collect()} == {i for i in range(500) if i % 9 == 0 or i % 5 not in (0, 3)}
+    plan = plan_of(left)
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_all_tables(spark, tmp_path):
     zone = tmp_path / "landing"
     land(zone, "shippers_1.json", [{"ShipperID": 1}, {"ShipperID": 2}])
