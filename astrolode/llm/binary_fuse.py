@@ -34,13 +34,14 @@ def _shape(count: int) -> tuple[int, int]:
 
 
 def _slots(h: np.ndarray, length: int, segments: int) -> tuple[np.ndarray, ...]:
-    # The upper 32 bits choose the first segment, the lower ones the slot within each.
-    first = ((h >> _U(32)) * _U(segments - 2) >> _U(32)).astype(np.int64) * length
+    # The upper 32 bits choose the first slot; bits of their own move the others within the next
+    # segments. Bits shared by two of them tie slots together, and large sets no longer peel.
+    first = (h >> _U(32)) * _U((segments - 2) * length) >> _U(32)
     mask = _U(length - 1)
     return (
-        first + (h & mask).astype(np.int64),
-        first + length + (h >> _U(9) & mask).astype(np.int64),
-        first + 2 * length + (h >> _U(14) & mask ^ h >> _U(1) & mask).astype(np.int64),
+        first.astype(np.int64),
+        (first + _U(length) ^ h >> _U(18) & mask).astype(np.int64),
+        (first + _U(2 * length) ^ h & mask).astype(np.int64),
     )
 
 

@@ -70,6 +70,16 @@ def test_filter_holds_its_keys_and_few_others():
     assert len(made.cells) < 1.35 * 50_000
 
 
+def test_filters_of_any_size_are_built_at_the_first_seeds():
+    rng = np.random.default_rng(2)
+    for count in (5_000, 121_000, 180_000, exact_dedup.FILTER_KEYS, 3 * exact_dedup.FILTER_KEYS):
+        keys = rng.integers(0, 2**64, count, np.uint64)
+        made = BinaryFuse.build(keys)
+        assert made.seed < 5
+        assert made.holds(keys).all()
+        assert made.holds(rng.integers(0, 2**64, 50_000, np.uint64)).mean() < 0.01
+
+
 def test_several_ranges(spark, docs_of, monkeypatch):
     monkeypatch.setattr(exact_dedup, "FILTER_KEYS", 20)
     rows = [(i, f"text {i % 150}") for i in range(400)]
