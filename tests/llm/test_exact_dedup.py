@@ -87,6 +87,15 @@ def test_several_ranges(spark, docs_of, monkeypatch):
     assert got == expected(rows)
 
 
+def test_as_many_texts_as_a_filter_takes(spark):
+    texts = 2 * exact_dedup.FILTER_KEYS - 14_000  # about half of them are the snapshot
+    row, first = F.col("id"), F.col("id") % texts
+    docs = spark.range(texts + 10_000).select(row.alias("doc_id"), first.cast("string").alias("text"))
+    wrong = (F.col("keep_id") != F.col("doc_id") % texts) | (F.col("kept") != (F.col("doc_id") < texts))
+    seen = exact_dedup.dedup(docs).agg(F.count(F.lit(1)), F.count_if(wrong), F.sum("group_size")).first()
+    assert tuple(seen) == (texts + 10_000, 0, texts + 30_000)
+
+
 def test_screen_only_lets_through_what_may_be_there(spark):
     groups = spark.range(2000).select(F.col("id").cast("string").alias("digest"))
     made = exact_dedup.filters(groups.filter("digest < 5000"), 4)
