@@ -19,7 +19,7 @@ from astrolode.operators import quality, star
 from astrolode.operators.clean import clean
 from astrolode.operators.ingest import IngestResult, ingest_all
 from astrolode.plans.lake import BRONZE, GOLD, SILVER, Lake
-from astrolode.session import run_each
+from astrolode.session import run_each, shuffles_dropped
 from astrolode.sources.files import or_none
 from astrolode.sources.sinks import overwrite_parquet, write_json_lines
 from astrolode.spec import CATALOG, GOLD_TABLES, TableSpec
@@ -65,7 +65,8 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, specs: Mapping[str, TableS
         after = overwrite_parquet(clean(bronze, spec), lake.path(SILVER, spec.name))
         return CleanResult(spec.name, before, after)
 
-    return run_each(spark, work, specs.values(), parallel)
+    with shuffles_dropped(spark):
+        return run_each(spark, work, specs.values(), parallel)
 
 
 def clean_counts(spark: SparkSession, lake: Lake,
@@ -114,7 +115,8 @@ def silver_to_gold(spark: SparkSession, lake: Lake, source: str, partition_fact_
             df, partition_by = df.withColumn("year", F.year("OrderDate")), ("year",)
         return overwrite_parquet(df, lake.path(GOLD, table), partition_by)
 
-    return dict(zip(GOLD_TABLES, run_each(spark, work, GOLD_TABLES, parallel)))
+    with shuffles_dropped(spark):
+        return dict(zip(GOLD_TABLES, run_each(spark, work, GOLD_TABLES, parallel)))
 
 
 def gold_presence(spark: SparkSession, lake: Lake) -> DataFrame:

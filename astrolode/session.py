@@ -8,8 +8,9 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -24,6 +25,8 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
 
 
@@ -70,6 +73,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it a query's shuffle files go when it ends, not when the driver next collects garbage.
+
+    For jobs that write one large table after another. A frame that runs twice shuffles twice.
+    """
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def run_each(spark: SparkSession, work: Callable, items: Iterable, parallel: int = 1) -> list:
     """Run `work` per item, up to `parallel` Spark jobs at a time, results in order.
 

@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+# Of layer tables; they take about a quarter less room than by Spark's default.
+CODEC = "zstd"
+
 
 def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Write and return the number of rows written, in one action.
@@ -21,7 +24,7 @@ def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 
 def append_parquet(df: DataFrame, path: str) -> int:
-    return write_counted(df, lambda d: d.write.mode("append").parquet(path))
+    return write_counted(df, lambda d: d.write.mode("append").parquet(path, compression=CODEC))
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
@@ -33,7 +36,7 @@ def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()
     if partition_by:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     return write_counted(
-        df, lambda d: d.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df, lambda d: d.write.mode("overwrite").partitionBy(*partition_by).parquet(path, compression=CODEC)
     )
 
 
@@ -51,8 +54,17 @@ def overwrite_bucketed(df: DataFrame, table: str, path: str, buckets: int,
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """A batch of JSON-lines files, NULL fields included."""
-    df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    """A batch of JSON-lines files, NULL fields included.
+
+    Every line repeats all names, so plain lines take many times the room of the rows. A gzip file
+    cannot be split: it is read by one task, as it was written by one.
+    """
+    (
+        df.write.mode("errorifexists")
+        .option("ignoreNullFields", False)
+        .option("compression", "gzip")
+        .json(path)
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:

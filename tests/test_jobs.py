@@ -1,9 +1,12 @@
+import time
+from pathlib import Path
+
 import pytest
 
 from astrolode.operators.quality import QualityError
 from astrolode.plans import jobs
 from astrolode.plans.lake import BRONZE, GOLD, SILVER, Lake
-from astrolode.session import run_each
+from astrolode.session import DROP_SHUFFLES, run_each
 from astrolode.sources import sinks
 from astrolode.spec import CATALOG, GOLD_TABLES
 
@@ -85,6 +88,46 @@ def test_landing_to_gold(spark, lake, tmp_path):
     assert (spark.read.parquet(lake.path(GOLD, "fact_orders")).filter("year = 1996").count()) == 2
 
 
+def _bytes(folder, files):
+    return sum(p.stat().st_size for p in Path(folder).rglob(files))
+
+
+def _shuffle_files(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    return {n for n in disk.getAllBlocks().mkString(" ").split() if n.startswith("shuffle_")}
+
+
+def test_layers_take_little_room(spark, tmp_path, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    lake = Lake(str(tmp_path))
+    days = [f"'7/4/1996 0:00' AS {name}" for name in ("OrderDate", "RequiredDate", "ShippedDate")]
+    feed = {"order_details": spark.range(20_000).selectExpr(
+                "id DIV 4 AS OrderID", "id % 4 AS ProductID", "id * 0.5D AS UnitPrice", "id % 7 AS Quantity",
+                "0.1D AS Discount"),
+            "orders": spark.range(5_000).selectExpr(
+                "id AS OrderID", "'A' AS `Customer key`", "1L AS EmployeeID", *days, "1L AS ShipVia",
+                "1D AS Freight")}
+    feed |= {t: spark.createDataFrame(FEED[t], CATALOG[t].landing_ddl) for t in CATALOG if t not in feed}
+    for table, df in feed.items():
+        jobs.land_batch(df, lake, table, "1")
+    text = feed["order_details"].selectExpr("sum(length(to_json(struct(*)))) AS n").first().n
+    assert _bytes(f"{lake.landing}/order_details_batch_1.json", "part-*") < text / 4
+
+    taken = {r.table: r.new_rows for r in jobs.landing_to_bronze(spark, lake)}
+    assert (taken["order_details"], taken["orders"]) == (20_000, 5_000)
+    old = _shuffle_files(spark)
+    silver = {r.table: r.rows_after for r in jobs.bronze_to_silver(spark, lake, parallel=2)}
+    assert (silver["order_details"], silver["orders"]) == (20_000, 5_000)
+    assert jobs.silver_to_gold(spark, lake, "shop")["fact_orders"] == 20_000
+    until = time.time() + 20
+    while _shuffle_files(spark) - old and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - old
+    assert spark.conf.get(DROP_SHUFFLES) == "false"
+    for layer in (SILVER, GOLD):
+        assert all(".zstd." in p.name for p in Path(tmp_path, layer).rglob("part-*.parquet"))
+
+
 def test_the_strict_gate_stops(spark, tmp_path):
     lake = Lake(str(tmp_path))
     spec = CATALOG["shippers"]
